@@ -90,8 +90,8 @@ def flight(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.nda
     return np.array(p)
 
 
-def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The open probabilities (two at most) become 0 or 1 so that tokens, then documents, change least."""
+def landing(p: np.ndarray, p0: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The open probabilities of p (two at most) become 0 or 1 so that tokens, then documents, change least against p0."""
     open_ = np.flatnonzero((p > 0) & (p < 1))
     best = None
     for bits in range(1 << len(open_)):
@@ -102,6 +102,17 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
             best = (cost, pick)
     out = p.copy()
     out[open_] = best[1]
+    # what the landing left over: trade a taken document for one that is not, while that brings the tokens nearer
+    for _ in range(4):
+        miss = float((out - p0) @ size)
+        taken, free = np.flatnonzero(out == 1), np.flatnonzero(out == 0)
+        if abs(miss) < 1 or not len(taken) or not len(free):
+            break
+        after = np.abs(miss - size[taken][:, None] + size[free][None, :])
+        i, j = divmod(int(np.argmin(after)), len(free))
+        if after[i, j] >= abs(miss):
+            break
+        out[taken[i]], out[free[j]] = 0.0, 1.0
     return out
 
 
@@ -112,8 +123,9 @@ def _settled(df: DataFrame, last: bool, seed: int) -> DataFrame:
         order = pa.compute.sort_indices(group, [("__size", "ascending"), ("__tie", "ascending")])
         group = group.take(order)
         p, size, tie = (group[c].to_numpy(zero_copy_only=False) for c in ("__p", "__size", "__tie"))
-        p = flight(p, size, np.random.default_rng([seed, len(p), int(np.bitwise_xor.reduce(tie)) & (2**63 - 1)]))
-        p = landing(p, size) if last else p
+        start = p
+        p = flight(start, size, np.random.default_rng([seed, len(p), int(np.bitwise_xor.reduce(tie)) & (2**63 - 1)]))
+        p = landing(p, start, size) if last else p
         return group.set_column(group.schema.get_field_index("__p"), "__p", pa.array(p))
 
     return df.groupBy("__source", "__block").applyInArrow(level, df.schema)

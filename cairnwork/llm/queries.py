@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnwork.llm import mixing, sharding, topk
+from cairnwork.llm import decontam, langid, mixing, sharding, simhash, topk
 
 SHARDS = 40
 
@@ -16,6 +16,22 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    model = langid.fit(docs.where(~langid.held_out()))
+    judged = langid.predict(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.match(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op4_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(_docs(spark, sf_dir))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     held = _docs(spark, sf_dir).select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64("text", "lang", "source").alias("tie"))
@@ -34,8 +50,8 @@ def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
@@ -44,7 +60,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_feistel_shards, op7_kd_topk, op9_cube_mix)}
+    return {f.__name__: f for f in (op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op7_kd_topk, op9_cube_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
