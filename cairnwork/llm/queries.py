@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnwork.llm import decontam, langid, mixing, sharding, simhash, topk
+from cairnwork.llm import decontam, doubling, langid, mixing, sharding, simhash, topk
 
 SHARDS = 40
 
@@ -44,6 +44,10 @@ def op7_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op8_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling.remove_repeats(_docs(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_docs(spark, sf_dir), whole_rows=False)
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__times")).cast("long").alias("taken"))
@@ -60,7 +64,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op7_kd_topk, op9_cube_mix)}
+    return {f.__name__: f for f in (op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op7_kd_topk, op8_level_doubling, op9_cube_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
