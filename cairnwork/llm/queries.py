@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnwork.llm import decontam, doubling, langid, mixing, sharding, simhash, topk
+from cairnwork.llm import decontam, doubling, langid, mixing, sharding, simhash, suffixes, topk
 
 SHARDS = 40
 
@@ -16,6 +16,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_bwt_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_docs(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     model = langid.fit(docs.where(~langid.held_out()))
@@ -64,7 +68,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op7_kd_topk, op8_level_doubling, op9_cube_mix)}
+    return {f.__name__: f for f in (op1_bwt_intervals, op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op7_kd_topk, op8_level_doubling, op9_cube_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
