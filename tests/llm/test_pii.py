@@ -1,0 +1,97 @@
+import hashlib
+import re
+
+import numpy as np
+
+from cairnwork.llm import pii, queries
+from tests.llm.fixtures import docs, rows, saved
+
+SF = "/root/testdata/sf0.001"
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def passes(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    return {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m.split(".")), "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+
+
+def brute(documents):
+    out = []
+    for i, t in documents:
+        found = [(k, m.start(), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, t or "") if passes(k, m[0])]
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+        out.append((i, *(sum(f[0] == k for f in found) for k in PATTERNS), hashlib.sha256(text.encode()).hexdigest(), text))
+    return sorted(out, key=str)
+
+
+TEXTS = [
+    "mail a.b@c.de, x@y, é a@b.c_x@d.e.f  @g.h a@b..c --z@q-1.r-2.x@y.z", "1.2.3.4 256.1.1.1 01.002.0003.255 1.2.3.4.5.6.7.8 9.9.9", "4111 1111 1111 1111 x 4111-1111-1111-1112, 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 5500000000000004  1",
+    "+1 (415) 555-0100, +49 30 1234567. +1 +2 2 +123456789 +1234567890123456 +1(((", "é" * 50 + "a@b.co" + "😀+44 20 7946 0958", "a" * 4000, "1" * 4000, "1 " * 3000, "1." * 3000, "+1 " * 2000, "a@" * 2000, "a.b@c." * 1000, None, "", "reach me: joe (at) example (dot) com. SSN: 123-45-6789 phone: (415) 555-0100",
+]
+
+
+def compare(out, want):
+    got = {}
+    for r in sorted(map(tuple, out), key=str):
+        got.setdefault(r[0], []).append(r)
+    assert sorted((r[:6] for v in got.values() for r in v), key=str) == [w[:6] for w in want]
+    for w in want:
+        for r in got[w[0]]:
+            assert set(filter(None, w[6].split(","))) <= set(r[6].split(","))
+
+
+def test_op6_base_against_brute_force(spark, tmp_path):
+    d = [(i, t) for i, t in enumerate(TEXTS)]
+    spark.createDataFrame([(*x, "v", "v") for x in d], "doc_id long, text string, kind string, place string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op6_boosted_candidates(spark, str(tmp_path)).collect()
+    compare(out, brute(d))
+    last = next(r for r in out if r.doc_id == len(TEXTS) - 1).spans
+    text = TEXTS[-1]
+    for kind, part in (("email", "joe (at) example (dot) com"), ("id", "123-45-6789"), ("phone", "(415) 555-0100")):
+        assert f"{kind}:{text.index(part)}:{text.index(part) + len(part)}" in last.split(",")
+
+
+def test_op6_on_fixture_and_driver_rows(spark, tmp_path):
+    compare(queries.op6_boosted_candidates(spark, saved(spark, tmp_path)).collect(), brute([(i, t) for i, t, *_ in rows()]))
+    d = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    compare(queries.op6_boosted_candidates(spark, SF).collect(), brute(d))
+
+
+def test_op6_is_native(spark):
+    plan = pii.spans(docs(spark))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_trees_on_examples_kept_apart():
+    model = pii.fitted()
+    new = pii.made_up(800, 99)
+    x = np.array([pii.features_of(*r[:3]) for r in new])
+    picked = model.score(x) >= np.array([model.thresholds[r[0]] for r in new])
+    truth = np.array([r[3] for r in new]) > 0
+    assert (picked & truth).sum() / picked.sum() >= 0.93 and (picked & truth).sum() / truth.sum() >= 0.6
+
+
+def test_expressions_equal_features(spark):
+    from pyspark.sql import functions as F
+
+    new = pii.made_up(60, 5)
+    d = spark.createDataFrame([r[:3] for r in new], "name string, match string, before string")
+    cols = pii.feature_columns(*map(F.col, ("name", "match", "before")))
+    got = d.select(F.array(*(cols[f] for f in pii.FEATURES)).alias("f"), pii.fitted().column(cols).alias("s")).collect()
+    want = np.array([pii.features_of(*r[:3]) for r in new])
+    assert np.allclose([r.f for r in got], want) and np.allclose([r.s for r in got], pii.fitted().score(want))
+
+
+def test_op6_empty(spark, tmp_path):
+    docs(spark).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.op6_boosted_candidates(spark, str(tmp_path)).count() == 0
+
+
+def test_op6_long_runs(spark):
+    long_ = [(i, t) for i, t in enumerate(["a" * 300000, "1" * 300000, "1 " * 150000, "1." * 150000, "+1 " * 60000, "a@" * 100000, "a@b.c " * 5000])]
+    out = {r.doc_id: (r.n_email, r.n_ip) for r in pii.spans(spark.createDataFrame(long_, "doc_id long, text string")).collect()}
+    assert out[6] == (5000, 0) and out[3] == (0, 37500) and len(out) == 7
