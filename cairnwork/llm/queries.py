@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnwork.llm import decontam, doubling, langid, mixing, pii, sharding, simhash, suffixes, topk
+from cairnwork.llm import decontam, doubling, langid, mixing, pii, sharding, simhash, suffixes, tokencount, topk
 
 SHARDS = 40
 
@@ -62,6 +62,10 @@ def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__times")).cast("long").alias("taken"))
 
 
+def op10_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.document_counts(_docs(spark, sf_dir))
+
+
 OP7_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -73,7 +77,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bwt_intervals, op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op6_boosted_candidates, op7_kd_topk, op8_level_doubling, op9_cube_mix)}
+    return {f.__name__: f for f in (op1_bwt_intervals, op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op6_boosted_candidates, op7_kd_topk, op8_level_doubling, op9_cube_mix, op10_separator_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

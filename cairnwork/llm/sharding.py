@@ -94,7 +94,7 @@ def assign_shards(df: DataFrame, keys: list[Column], shards: int, seed: int = 0)
     Law `rows`: shard sizes differ by one at most. Null keys come first and count as rows like any
     other; repeated rows each have their own slot; an empty table stays empty.
     """
-    df = df.drop("shard", "slot")
+    kept = [c for c in df.columns if c not in ("shard", "slot")]
     numbered, n = number_rows(df, keys, "__number")
 
     @F.pandas_udf(T.LongType())
@@ -102,4 +102,4 @@ def assign_shards(df: DataFrame, keys: list[Column], shards: int, seed: int = 0)
         return pd.Series(permute(number.to_numpy(), n, seed))
 
     moved = numbered.withColumn("__moved", permuted("__number"))
-    return moved.select(*df.columns, F.pmod("__moved", F.lit(shards)).cast("int").alias("shard"), F.floor(F.col("__moved") / shards).cast("long").alias("slot"))
+    return moved.select(*kept, F.pmod("__moved", F.lit(shards)).cast("int").alias("shard"), F.floor(F.col("__moved") / shards).cast("long").alias("slot"))
