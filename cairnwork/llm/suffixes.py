@@ -33,7 +33,7 @@ LENGTH = 400
 #: Different segments of an anchor (summed over blocks) beyond which its strings go out one by one.
 HOT = 2000
 #: Symbols of one transform, about.
-BATCH = 1 << 20
+BATCH = 1 << 19
 CHUNK = 1 << 16
 BLOCK_BYTES = 1 << 20
 
@@ -222,8 +222,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     """
     table = packed.block_table(docs, key, text, BLOCK_BYTES)
     gram, width = gram_length(length), length - gram_length(length) + 1
+    # a segment as Python objects takes some times its bytes, hence the many buckets of the second round
     n1 = packed.bucket_count(table, 18 * 2 / (width + 1))
-    n2 = packed.bucket_count(table, 0.25)
+    n2 = packed.bucket_count(table, 1.0)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
