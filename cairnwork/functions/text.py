@@ -105,7 +105,7 @@ def set_ratio(a: str, b: str) -> float:
     return max(best, indel_ratio(base, one), indel_ratio(base, two)) if shared else best
 
 
-@F.pandas_udf("strict double, loose double")
+@F.pandas_udf(T.StructType([T.StructField("strict", T.DoubleType()), T.StructField("loose", T.DoubleType())]))
 def name_scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """strict: the lesser of sort and set ratio; loose: the greater. Only for pairs that a block join proposes."""
     rows = [(sort_ratio(x or "", y or ""), set_ratio(x or "", y or "")) for x, y in zip(a, b)]
