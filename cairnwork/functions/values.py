@@ -59,7 +59,7 @@ def square_metres(c: Column) -> Column:
 
 def place_parts(c: Column) -> Column:
     """(city, region, country) of a comma-separated place."""
-    p = F.transform(F.split(c, ","), F.trim)
+    p = F.transform(F.split(c, ","), lambda x: F.trim(x))
     n = F.size(p)
     return F.struct(F.when(n >= 1, F.get(p, F.lit(0))).alias("city"), F.when(n >= 3, F.get(p, F.lit(1))).alias("region"), F.when(n >= 2, F.get(p, n - 1)).alias("country"))
 
