@@ -1,6 +1,7 @@
 """Blocks of documents, and rounds in which blocks ask what other blocks hold.
 
-A block is a run of whole documents of bounded size, stored once so that its number and order never change. In a
+A block is a run of whole documents of bounded size, stored once so that its number and order never change. The table of
+blocks is bucketed by their number, so that answers travel to the blocks and no text is shuffled, at any size. In a
 round every block sends each distinct key it holds once, in packed rows per bucket of keys; a bucket
 answers each row with one byte per key. So a key that a third of all rows hold costs a bucket one
 entry per block, never one per row, and no answer is larger than its question.
@@ -17,28 +18,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnwork.llm.textscan import BLOCK_BYTES, blocks
-from cairnwork.plans.storage import cut
+from cairnwork.plans.storage import cut_bucketed
 
-#: Bytes of answers up to which they go to all executors; beyond, answers and blocks are joined by a shuffle.
-BROADCAST_BYTES = 32 << 20
 #: Bytes of packed keys in a bucket, about.
 BUCKET_BYTES = 12 << 20
 
 PACK = "block long, bucket long, sent binary"
 
 
+def _hash(x: np.ndarray) -> np.ndarray:
+    """Spark's hash (Murmur3, seed 42) of longs. Only a hint: the writer itself places rows."""
+
+    def turn(v: np.ndarray, by: int) -> np.ndarray:
+        return (v << np.uint32(by)) | (v >> np.uint32(32 - by))
+
+    h = np.full(len(x), 42, np.uint32)
+    for half in ((x & 0xFFFFFFFF).astype(np.uint32), (x >> 32).astype(np.uint32)):
+        h ^= turn(half * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        h = turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    h ^= np.uint32(8)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (h ^ (h >> np.uint32(16))).view(np.int32)
+
+
+def _numbers(task: int, buckets: int) -> Iterator[int]:
+    """Block numbers of a task that all fall into one bucket, so that a task writes one file."""
+    for at in range(task << 32, (task + 1) << 32, 1 << 14):
+        x = np.arange(at, at + (1 << 14), dtype=np.int64)
+        yield from x[_hash(x) % np.int32(buckets) == task % buckets].tolist()
+
+
 def block_table(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """block, keys array<long>, offsets binary (int64), body binary: all documents, each whole in one block."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        numbers = _numbers(TaskContext.get().partitionId(), buckets)
         for batch in batches:
             for a, b, data, offsets in blocks(batch[text], block_bytes):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())), "offsets": pa.array([offsets.astype(np.int64).tobytes()], pa.binary()), "body": pa.array([data.tobytes()], pa.binary())})
-                number += 1
+                yield pa.RecordBatch.from_pydict({"block": pa.array([next(numbers)], pa.int64()), "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())), "offsets": pa.array([offsets.astype(np.int64).tobytes()], pa.binary()), "body": pa.array([data.tobytes()], pa.binary())})
 
     held = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
-    return cut(held.mapInArrow(made, "block long, keys array<long>, offsets binary, body binary"), "blocks")
+    return cut_bucketed(held.mapInArrow(made, "block long, keys array<long>, offsets binary, body binary"), "blocks", "block", buckets)
 
 
 def opened(batch: pa.RecordBatch, r: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,10 +98,9 @@ def answered(sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray], np.ndarr
 
 
 def joined(table: DataFrame, per_block: DataFrame) -> DataFrame:
-    """table with the rows of per_block gathered as `answers` (null without any)."""
-    size = per_block.select(F.sum(F.octet_length(per_block.columns[-1]) + 24)).first()[0] or 0
+    """table with the rows of per_block gathered as `answers` (null without any); only per_block is shuffled."""
     gathered = per_block.groupBy("block").agg(F.collect_list(F.struct(*per_block.columns[1:])).alias("answers"))
-    return table.join(F.broadcast(gathered) if size <= BROADCAST_BYTES else gathered, "block", "left")
+    return table.join(gathered.hint("shuffle_hash"), "block", "left")
 
 
 def answers(batch: pa.RecordBatch, r: int) -> dict[int, np.ndarray]:
