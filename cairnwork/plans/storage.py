@@ -21,6 +21,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def bounded_batches(df: DataFrame, most: int = 8 << 20) -> DataFrame:
+    """df, after its session's Arrow batches are held to `most` bytes: batches of whole texts then stay small on both sides of Python."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key).lower().rstrip("b")
+    if not now.lstrip("-").isdigit() or int(now) <= 0 or int(now) > most:
+        conf.set(key, str(most))
+    return df
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
