@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnwork.llm.textscan import ALNUM, LOWER, blocks, prefix, raw, span_hash, spans
-from cairnwork.plans.storage import cut
+from cairnwork.plans.storage import bounded_batches, cut
 
 WINDOW = 10
 #: Windows that one pass sends to the executors: 10 terms and an item list each, some hundred MB at most.
@@ -89,7 +89,7 @@ def build_index(docs: DataFrame, vocab: np.ndarray, key: str = "doc_id", text: s
                     "postings": pa.array([position[order].astype(np.int32).tobytes()], pa.binary()),
                 })
 
-    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, "keys array<long>, n_words array<long>, terms array<long>, counts array<long>, postings binary")
+    return bounded_batches(docs).select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, "keys array<long>, n_words array<long>, terms array<long>, counts array<long>, postings binary")
 
 
 def term_counts(index: DataFrame, terms: int) -> np.ndarray:

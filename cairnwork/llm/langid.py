@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairnwork.llm.textscan import LOWER, blocks
+from cairnwork.plans.storage import bounded_batches
 
 BUCKETS = 1 << 12
 #: Labelled rows that the classifiers are fitted on, about, for each language. This bounds what the driver gathers.
@@ -27,6 +28,8 @@ ROWS_PER_LANG = 500
 #: Share of the loss range by which the best two codewords must differ.
 MARGIN = 0.02
 UNKNOWN = "und"
+#: Text scored at once: a letter takes some hundred bytes of working memory.
+BLOCK_BYTES = 1 << 18
 
 #: Letters' bytes in lower case, all else as one mark.
 _FOLD = LOWER.copy()
@@ -95,7 +98,7 @@ class Model:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for _, _, data, offsets in blocks(batch["text"]):
+        for _, _, data, offsets in blocks(batch["text"], BLOCK_BYTES):
             h, letter = trigrams(data, offsets)
             for a, b in zip(offsets[:-1], offsets[1:]):
                 counts = np.bincount(h[a:b][letter[a:b]], minlength=BUCKETS)
@@ -108,7 +111,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
 
     Only hashed trigram shares of the chosen rows reach the driver: 16 KB a row.
     """
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("draw"))
+    rows = bounded_batches(labelled).where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("draw"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
@@ -147,7 +150,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
         for batch in batches:
             column, n = batch[text], batch.num_rows
             sums, seen, letters = np.zeros((n, model.weights.shape[1] if model else 1)), np.zeros(n), np.zeros(n, bool)
-            for first, after, data, offsets in blocks(column):
+            for first, after, data, offsets in blocks(column, BLOCK_BYTES):
                 h, letter = trigrams(data, offsets)
                 place = np.repeat(np.arange(after - first), np.diff(offsets))[letter]
                 seen[first:after] = np.bincount(place, minlength=after - first)
@@ -166,7 +169,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
             made = [pa.array(out, pa.string()), pa.array(score), pa.array(vague)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "lang_pred", "score", "ambiguous"])
 
-    return docs.mapInArrow(judged, schema)
+    return bounded_batches(docs).mapInArrow(judged, schema)
 
 
 def held_out(key: str = "doc_id"):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairnwork.llm.textscan import SPACE, blocks, spans
-from cairnwork.plans.storage import cut
+from cairnwork.plans.storage import bounded_batches, cut
 
 #: Most times that one document is taken.
 REPEATS = 3
@@ -139,7 +139,7 @@ def mix(docs: DataFrame, whole_rows: bool = True, source: str = "source", text:
     order or partitions. Sources are counted on the driver: one row for each.
     """
     spark, names = docs.sparkSession, docs.columns if whole_rows else [key, source]
-    held = docs.withColumns({"__size": word_count(text), "__tie": F.xxhash64(key, source, text)})
+    held = bounded_batches(docs).withColumns({"__size": word_count(text), "__tie": F.xxhash64(key, source, text)})
     held = cut(held.select(*names, "__size", "__tie"), "sized")
     stats = held.groupBy(source).agg(F.sum("__size").alias("size"), F.count("*").alias("docs")).collect()
     goal = targets([(r[0], r["size"]) for r in stats])

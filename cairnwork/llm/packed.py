@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnwork.llm.textscan import BLOCK_BYTES, blocks
-from cairnwork.plans.storage import cut_bucketed
+from cairnwork.plans.storage import bounded_batches, cut_bucketed
 
 #: Bytes of packed keys in a bucket, about.
 BUCKET_BYTES = 12 << 20
@@ -59,7 +59,7 @@ def block_table(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_B
             for a, b, data, offsets in blocks(batch[text], block_bytes):
                 yield pa.RecordBatch.from_pydict({"block": pa.array([next(numbers)], pa.int64()), "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())), "offsets": pa.array([offsets.astype(np.int64).tobytes()], pa.binary()), "body": pa.array([data.tobytes()], pa.binary())})
 
-    held = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
+    held = bounded_batches(docs).select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
     return cut_bucketed(held.mapInArrow(made, "block long, keys array<long>, offsets binary, body binary"), "blocks", "block", buckets)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from cairnwork.llm.textscan import raw
 from cairnwork.operators.graph import components
-from cairnwork.plans.storage import cut
+from cairnwork.plans.storage import bounded_batches, cut
 
 RADIUS = 3
 SHINGLE = 3
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
             out = np.array([fingerprint(bytes(body[a:b])) for a, b in zip(offsets[:-1], offsets[1:])], np.uint64)
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(out.view(np.int64))], names=[*kept, "__fp"])
 
-    return docs.mapInArrow(made, T.StructType([*docs.select(*kept).schema.fields, T.StructField("__fp", T.LongType())]))
+    return bounded_batches(docs).mapInArrow(made, T.StructType([*docs.select(*kept).schema.fields, T.StructField("__fp", T.LongType())]))
 
 
 def forest(a: np.ndarray, b: np.ndarray, radius: int = RADIUS, chunk: int = 1 << 20) -> list[tuple[int, int]]:
