@@ -1,6 +1,6 @@
 """All queries of the library itself."""
 
-from cairnwork.plans import curation_queries, record_queries, relational_queries, resolution_queries  # noqa: F401
+from cairnwork.plans import curation_queries, record_queries, relational_queries, resolution_queries, review_queries  # noqa: F401
 from cairnwork.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
