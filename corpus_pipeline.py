@@ -14,6 +14,12 @@ SHARDS = 40
 ORACLE_SQL = None
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """docs with `__id`: the doc_id, or for a row without one a number above all real ones that follows from its text."""
+    stand_in = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(1 << 62)
+    return docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be named; null texts and texts without letters go."""
     judged = langid.predict(docs, langid.fit(docs.where(~langid.held_out())))
@@ -21,16 +27,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row of least doc_id, and of rows that share it one."""
-    found = simhash.classes(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each group of near copies the row of least doc_id, and of rows that share it one. A row without doc_id stays only where no other does."""
+    rows = _identified(docs)
+    found = simhash.classes(rows, key="__id")
+    kept = found.where("__id = component_id").select("__id").distinct()
+    return rows.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
-    found = decontam.match(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark window. Of rows that share a doc_id all go if one has a window."""
+    rows = _identified(docs)
+    found = decontam.match(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__id")
+    return rows.join(found.where("contaminated").select("__id").distinct(), "__id", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
