@@ -46,3 +46,13 @@ def test_run_empty(spark, tmp_path):
     docs(spark).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_without_id(spark, tmp_path):
+    d = docs(spark)
+    lost = spark.createDataFrame([(None, "only here and nowhere else", "en", "a", 1)] * 2 + [(None, rows()[13][1], "en", "a", 1), (None, ITEMS[0][1], "en", "a", 1)], d.schema)
+    spark.createDataFrame(ITEMS[:1], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(cp.STAGES)
+    both = stages["SimHash near-dedup"](spark, d.union(lost), str(tmp_path)).where("doc_id IS NULL")
+    assert sorted(r.text for r in both.collect()) == sorted(["only here and nowhere else", ITEMS[0][1]])
+    assert [r.text for r in stages["benchmark decontamination"](spark, both, str(tmp_path)).collect()] == ["only here and nowhere else"]
