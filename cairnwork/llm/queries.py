@@ -76,9 +76,33 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+WORDS3 = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP3_SQL = f"""
+WITH iw AS (SELECT item_id, {WORDS3} AS w FROM benchmark WHERE item_id IS NOT NULL),
+iwin AS (SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS x, least(len(w), 10) AS n FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM iw WHERE len(w) > 0)),
+dw AS (SELECT row_number() OVER () AS r, doc_id, {WORDS3} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM iwin),
+dwin AS (SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS x FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM dw, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, s, dwin.n, item_id FROM dwin JOIN iwin ON dwin.x = iwin.x AND dwin.n = iwin.n),
+hw AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT r, s, n FROM hits)) GROUP BY 1),
+hi AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
+"""
+OP8_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT r, s, md5(array_to_string(w[s:s + 34], ' ')) AS x FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+rep AS (SELECT x FROM win GROUP BY 1 HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM win JOIN rep USING (x)),
+each AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM each ANTI JOIN gone USING (r, p) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_bwt_intervals, op2_ecoc_language, op3_positional_index, op4_simhash_tiles, op5_feistel_shards, op6_boosted_candidates, op7_kd_topk, op8_level_doubling, op9_cube_mix, op10_separator_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_kd_topk": OP7_SQL}
+    return {"op3_positional_index": OP3_SQL, "op7_kd_topk": OP7_SQL, "op8_level_doubling": OP8_SQL}
