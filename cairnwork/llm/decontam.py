@@ -1,23 +1,25 @@
 """Benchmark decontamination with a document-sharded positional inverted index.
 
 A block of documents is an index shard: for every term of the benchmark, the sorted positions at which
-it stands. Shards are stored; counts of the terms over all shards say which terms are rare. A phrase
+it stands. Shards are numbered and stored; counts of the terms over all shards say which terms are rare. A phrase
 is looked up from its rarest term: its postings, moved by the term's offset, are candidate starts, and the
 other terms' postings are intersected with them in order of rarity. Proximity search takes, around each posting of the rarest
 term, the nearest postings of the others.
 
 The benchmark's windows go to all executors. Their size is checked first (MAX_WINDOWS); a larger benchmark is
-searched in several passes, so that no pass sends more than that.
+searched in several passes over the same stored shards, so that no pass sends more than that.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,9 +70,10 @@ def windows_of(items: list[tuple[object, str | None]], width: int = WINDOW) -> W
 
 
 def build_index(docs: DataFrame, vocab: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per shard: keys and word ranges of its documents, and per term of vocab its count and its positions."""
+    """A row per shard: its number, keys and word ranges of its documents, and per term of vocab its count and its positions."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for a, b, data, offsets in blocks(batch[text]):
                 h, first = words_of(data, offsets)
@@ -82,6 +85,7 @@ def build_index(docs: DataFrame, vocab: np.ndarray, key: str = "doc_id", text: s
                 counts = np.bincount(at[known], minlength=len(vocab))
                 held = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array([next(numbers)], pa.int64()),
                     "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())),
                     "n_words": pa.array([np.diff(first).astype(np.int64)], pa.list_(pa.int64())),
                     "terms": pa.array([held], pa.list_(pa.int64())),
@@ -89,7 +93,7 @@ def build_index(docs: DataFrame, vocab: np.ndarray, key: str = "doc_id", text: s
                     "postings": pa.array([position[order].astype(np.int32).tobytes()], pa.binary()),
                 })
 
-    return bounded_batches(docs).select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, "keys array<long>, n_words array<long>, terms array<long>, counts array<long>, postings binary")
+    return bounded_batches(docs).select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, "shard long, keys array<long>, n_words array<long>, terms array<long>, counts array<long>, postings binary")
 
 
 def term_counts(index: DataFrame, terms: int) -> np.ndarray:
@@ -158,10 +162,10 @@ class Shard:
         return out
 
 
-def _shards(batch: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, Shard]]:
+def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, list, np.ndarray, Shard]]:
     for r in range(batch.num_rows):
         terms, counts, n_words = (np.asarray(batch[c][r].values).astype(np.int64) for c in ("terms", "counts", "n_words"))
-        yield batch["keys"][r].as_py(), n_words, Shard(terms, counts, np.frombuffer(batch["postings"][r].as_py(), np.int32), n_words)
+        yield batch["shard"][r].as_py(), batch["keys"][r].as_py(), n_words, Shard(terms, counts, np.frombuffer(batch["postings"][r].as_py(), np.int32), n_words)
 
 
 def _rarity(terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -186,25 +190,34 @@ def match(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         part.append(pair)
         held += most
     passes.append(part)
-    hits = [_match_pass(docs, windows_of(p, width), key, text) for p in passes]
+    parts = [windows_of(p, width) for p in passes]
+    vocab = np.unique(np.concatenate([w.vocab for w in parts]))
+    index = cut(build_index(docs, vocab, key, text), "index")
+    counts = term_counts(index, len(vocab))
+    hits = [_match_pass(index, _renumbered(w, vocab), counts, key) for w in parts]
     if len(hits) == 1:
         return _finished(hits[0], key)
     both = hits[0]
     for more in hits[1:]:
         both = both.unionByName(more)
-    # the same document has one row a pass; its place among equal keys keeps repeated rows apart
-    merged = both.groupBy(key, "place", "n_words").agg(F.flatten(F.collect_list("hit")).alias("hit"), F.flatten(F.collect_list("items")).alias("items"))
+    # the same row of a stored shard has one row a pass, whatever its key is
+    merged = both.groupBy("shard", "place").agg(F.first(key).alias(key), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hit")).alias("hit"), F.flatten(F.collect_list("items")).alias("items"))
     return _finished(merged, key)
 
 
-def _match_pass(docs: DataFrame, windows: Windows, key: str, text: str) -> DataFrame:
-    """key, place, n_words, hit (ranges of words as from, to, from, to ..), items."""
-    index = cut(build_index(docs, windows.vocab, key, text), "index")
-    order = _rarity(windows.terms, term_counts(index, len(windows.vocab)))
+def _renumbered(windows: Windows, vocab: np.ndarray) -> Windows:
+    """windows with the term numbers of a vocab that holds theirs."""
+    number = np.append(np.searchsorted(vocab, windows.vocab), -1)
+    return replace(windows, vocab=vocab, terms=number[windows.terms])
+
+
+def _match_pass(index: DataFrame, windows: Windows, counts: np.ndarray, key: str) -> DataFrame:
+    """shard, place, key, n_words, hit (ranges of words as from, to, from, to ..), items."""
+    order = _rarity(windows.terms, counts)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, n_words, shard in _shards(batch):
+            for at_shard, keys, n_words, shard in _shards(batch):
                 window, start = shard.phrases(windows.terms, order)
                 doc = np.searchsorted(shard.first, start, "right") - 1
                 by_doc = np.argsort(doc, kind="stable")
@@ -216,11 +229,11 @@ def _match_pass(docs: DataFrame, windows: Windows, key: str, text: str) -> DataF
                     hit.append(np.stack([at, at + windows.sizes[window[own]]], 1).ravel())
                     items.append([windows.names[i] for i in np.unique(np.concatenate([windows.items[w] for w in np.unique(window[own])]))] if len(own) else [])
                 yield pa.RecordBatch.from_pydict({
-                    key: pa.array(keys, pa.int64()), "place": pa.array(np.arange(len(keys))), "n_words": pa.array(n_words),
+                    "shard": pa.array([at_shard] * len(keys), pa.int64()), key: pa.array(keys, pa.int64()), "place": pa.array(np.arange(len(keys))), "n_words": pa.array(n_words),
                     "hit": pa.array(hit, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string())),
                 })
 
-    return index.mapInArrow(found, f"{key} long, place long, n_words long, hit array<long>, items array<string>")
+    return index.mapInArrow(found, f"shard long, {key} long, place long, n_words long, hit array<long>, items array<string>")
 
 
 def _finished(hits: DataFrame, key: str) -> DataFrame:
@@ -249,7 +262,7 @@ def proximity(docs: DataFrame, phrase: str, slop: int, key: str = "doc_id", text
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for keys, _, shard in _shards(batch):
+            for _, keys, _, shard in _shards(batch):
                 at = shard.near(terms, slop) if terms else np.zeros(0, np.int64)
                 doc = np.searchsorted(shard.first, at, "right") - 1
                 yield pa.RecordBatch.from_pydict({key: pa.array([keys[d] for d in doc], pa.int64()), "position": pa.array(at - shard.first[doc])})

@@ -88,6 +88,15 @@ def test_op3_in_several_passes(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, out)) == brute_decontam(distinct, ITEMS)
 
 
+def test_op3_in_several_passes_keeps_rows_that_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "MAX_WINDOWS", 40)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    held = [(i if i % 3 else None if i % 2 else 7, t) for i, (_, t, *_) in enumerate(rows())] + [(None, "x y"), (7, "x y")] * 6
+    got = sorted((tuple(r) for r in decontam.match(spark.createDataFrame(held, "doc_id long, text string").repartition(6), items).collect()), key=repr)
+    want = sorted((w for i, t in held for w in [(i, *brute_decontam([(0, t)], ITEMS)[0][1:])]), key=repr)
+    assert len(got) == len(held) and got == want
+
+
 def test_op3_on_driver_rows(spark):
     d = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     b = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
