@@ -50,6 +50,32 @@ def near_dup_clusters(t):
     return components(_pairs(t).where("score >= 0.5"), "a", "b")
 
 
+# Jaccard pairs over all tokens: no cap on a token's frequency
+WHOLE = f"""{SETS}, tk AS (SELECT doc_id, unnest(s) AS token FROM ts), bo AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM tk x JOIN tk y ON x.token = y.token AND x.doc_id < y.doc_id GROUP BY 1, 2),
+w AS (SELECT a, b, n / CAST(len(x.s) + len(y.s) - n AS DOUBLE) AS exact FROM bo JOIN ts x ON x.doc_id = a JOIN ts y ON y.doc_id = b)"""
+
+
+def _whole_pairs(t, least):
+    """(sets with their roots, pairs of roots) of all documents with Jaccard of at least `least`."""
+    members = cut(R.equal_sets(_token_sets(t), "doc_id", "s"), "members")
+    return members, cut(R.jaccard_roots(members.where("doc_id = root").select("root", "s"), least), "near")
+
+
+@query(f"WITH {WHOLE} SELECT a, b, round(exact, 6) AS score FROM w WHERE exact >= 0.5")
+def jaccard_pairs_whole(t):
+    return R.jaccard_pairs(*_whole_pairs(t, 0.5), "doc_id").select("a", "b", F.round(F.col("both") / F.col("n"), 6).alias("score"))
+
+
+@query(f"""WITH RECURSIVE {WHOLE}, e AS MATERIALIZED (SELECT a AS u, b AS v FROM w WHERE exact >= 0.5 UNION SELECT b, a FROM w WHERE exact >= 0.5),
+c AS (SELECT DISTINCT u AS node, u AS root FROM e UNION SELECT e.v, c.root FROM c JOIN e ON c.node = e.u)
+SELECT node, min(root) AS root FROM c GROUP BY 1""")
+def near_dup_clusters_whole(t):
+    """Equal sets hang on their root by an edge each, so their pairs are never made."""
+    members, near = _whole_pairs(t, 0.5)
+    copies = members.where("doc_id <> root").select(F.col("root").alias("a"), F.col("doc_id").alias("b"))
+    return components(near.select("a", "b").union(copies), "a", "b")
+
+
 @query(f"""WITH {SCORED}, p AS (SELECT a, b, score, x.source = y.source AS same_source, x.lang = y.lang AS same_lang, abs(x.n_chars - y.n_chars) AS gap FROM j JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b)
 SELECT a, b, CASE WHEN same_lang AND ((gap = 0 AND score >= 0.9) OR score >= 0.95) THEN 'auto' WHEN score >= 0.78 AND (same_lang OR same_source) THEN 'tiebreak' ELSE 'reject' END AS verdict FROM p""")
 def match_verdicts_pass1(t):
@@ -71,6 +97,29 @@ def match_verdicts_pass2(t):
     return p.select("a", "b", v.alias("verdict"))
 
 
+def _whole_verdict_pairs(t):
+    """Pairs from 78 on, below which both passes reject, with both documents' facts."""
+    d = t("documents").select("doc_id", "source", "lang", "n_chars")
+    p = R.jaccard_pairs(*_whole_pairs(t, 0.78), "doc_id")
+    p = p.select("a", "b", "both", (100 * F.round(F.col("both") / F.col("n"), 6)).alias("score"))
+    return p.join(d.toDF("a", "source_a", "lang_a", "n_chars_a"), "a").join(d.toDF("b", "source_b", "lang_b", "n_chars_b"), "b")
+
+
+@query(f"""WITH {WHOLE}, p AS (SELECT a, b, round(exact, 6) AS score, x.source = y.source AS same_source, x.lang = y.lang AS same_lang, abs(x.n_chars - y.n_chars) AS gap FROM w JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact >= 0.78)
+SELECT a, b, CASE WHEN same_lang AND ((gap = 0 AND score >= 0.9) OR score >= 0.95) THEN 'auto' WHEN score >= 0.78 AND (same_lang OR same_source) THEN 'tiebreak' ELSE 'reject' END AS verdict FROM p""")
+def match_verdicts_pass1_whole(t):
+    same = F.col("lang_a") == F.col("lang_b")
+    v = E.record_verdict(F.col("score"), F.col("score"), same, F.col("n_chars_a") == F.col("n_chars_b"), F.col("source_a") == F.col("source_b"), F.lit(True))
+    return _whole_verdict_pairs(t).select("a", "b", v.alias("verdict"))
+
+
+@query(f"""WITH {WHOLE}, p AS (SELECT a, b, round(exact, 6) AS score, n, x.source = y.source AS same_source, abs(x.n_chars - y.n_chars) AS gap FROM w JOIN bo USING (a, b) JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact >= 0.78)
+SELECT a, b, CASE WHEN same_source AND gap <= 1 AND n >= 2 AND score >= 0.9 THEN 'auto' ELSE 'reject' END AS verdict FROM p""")
+def match_verdicts_pass2_whole(t):
+    v = E.rescue_verdict(F.col("score"), F.col("both"), F.abs(F.col("n_chars_a") - F.col("n_chars_b")), F.col("source_a") == F.col("source_b"))
+    return _whole_verdict_pairs(t).select("a", "b", v.alias("verdict"))
+
+
 @query("""WITH s AS (SELECT l_suppkey AS k, list_distinct(list(l_partkey)) AS parts FROM lineitem WHERE l_suppkey < 60 GROUP BY 1), p AS (SELECT a.k AS a, b.k AS b, len(a.parts) AS na, len(b.parts) AS nb, len(list_intersect(a.parts, b.parts)) AS shared, (a.k * 7 + b.k) % 100 AS score, abs(a.k - b.k) % 4 AS gap
 FROM s a JOIN s b ON a.k < b.k AND a.k % 10 = b.k % 10)
 SELECT a, b, CASE WHEN shared = 0 AND na >= 3 AND nb >= 3 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 AND score < 90 AND gap > 1 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 THEN 'TIEBREAKER_PASS' ELSE 'PASS' END AS gate FROM p""")
