@@ -304,10 +304,21 @@ def recommend_mmr(t):
     return e.sparkSession.createDataFrame([(i + 1, r[0], round(r[2], 6)) for i, r in enumerate(taken)], "place int, vec_id long, score double")
 
 
+def _name_scores(t, pairs):
+    """(a, b, strict, loose) of the pairs' whole texts in plain form."""
+    d = t("documents").select("doc_id", X.plain(F.col("text")).alias("name"))
+    a, b = d.toDF("a", "na"), d.toDF("b", "nb")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", X.name_scores("na", "nb").alias("s")).select("a", "b", "s.strict", "s.loose")
+
+
 @query(f"""WITH {SCORED} SELECT count(*) AS n FROM j WHERE score >= 0.3""")
 def name_similarity_scores(t):
     """Only blocked pairs are scored; the scores' bounds hold for all of them, so the count equals the count of pairs."""
-    d = t("documents").select("doc_id", X.truncated(X.plain(F.col("text")), 80).alias("name"))
-    a, b = d.select(F.col("doc_id").alias("a"), F.col("name").alias("na")), d.select(F.col("doc_id").alias("b"), F.col("name").alias("nb"))
-    p = _pairs(t).where("score >= 0.3").join(a, "a").join(b, "b").select("a", "b", X.name_scores("na", "nb").alias("s"))
-    return p.where("s.strict BETWEEN 0 AND 100 AND s.loose >= s.strict").agg(F.count("*").alias("n"))
+    p = _name_scores(t, _pairs(t).where("score >= 0.3"))
+    return p.where("strict BETWEEN 0 AND 100 AND loose >= strict").agg(F.count("*").alias("n"))
+
+
+@query()
+def name_similarity_whole(t):
+    """Strict and loose score of the whole texts of every pair with a Jaccard of 0.3 or more."""
+    return _name_scores(t, R.jaccard_pairs(*_whole_pairs(t, 0.3), "doc_id"))

@@ -2,6 +2,7 @@
 
 from itertools import combinations
 
+from cairnwork.functions import text as X
 from cairnwork.plans.catalogue import QUERIES
 
 WORDS = [f"w{i}" for i in range(40)]
@@ -28,3 +29,15 @@ def test_groups_larger_than_any_cap(spark, tmp_path):
     assert {(0, 19, 1.0), (20, 34, 0.8), (40, 41, 0.6)} <= want
     roots = {r.node: r.root for r in QUERIES["near_dup_clusters_whole"](spark, str(tmp_path)).collect()}
     assert roots == {**dict.fromkeys(range(20), 0), **dict.fromkeys(range(20, 35), 20), 40: 40, 41: 40}
+
+
+def test_name_scores_of_whole_texts(spark, tmp_path):
+    head = " ".join(WORDS[:30])  # over 80 characters
+    texts = {1: head + " x y z", 2: head + " p q", 3: f"{head} x y z", 4: "w1 w2 w3", 5: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.a, r.b): (r.strict, r.loose) for r in QUERIES["name_similarity_whole"](spark, str(tmp_path)).collect()}
+    assert set(got) == {(a, b) for a, b, _ in jaccards(list(texts.items()), 0.3)} == {(1, 2), (1, 3), (2, 3)}
+    for (a, b), (strict, loose) in got.items():
+        both = X.sort_ratio(texts[a], texts[b]), X.set_ratio(texts[a], texts[b])
+        assert (strict, loose) == (min(both), max(both))
+    assert got[1, 2][0] < got[1, 3][0] == 100
