@@ -39,8 +39,19 @@ def exact_name_cross_source(t):
 
 @query("""SELECT DISTINCT least(x.c_nationkey, y.c_nationkey) AS a, greatest(x.c_nationkey, y.c_nationkey) AS b FROM orders o JOIN customer x ON x.c_custkey = o.o_custkey JOIN customer y ON y.c_custkey = (o.o_custkey * 3 + 1) % 150 WHERE x.c_nationkey <> y.c_nationkey""")
 def pair_through_mapping(t):
+    return _mapped_pairs(t, t("orders").select(F.col("o_custkey").alias("x"), ((F.col("o_custkey") * 3 + 1) % 150).alias("y")))
+
+
+@query("""WITH k AS (SELECT max(c_custkey) + 1 AS n FROM customer) SELECT DISTINCT least(x.c_nationkey, y.c_nationkey) AS a, greatest(x.c_nationkey, y.c_nationkey) AS b FROM k, orders o JOIN customer x ON x.c_custkey = o.o_custkey JOIN customer y ON y.c_custkey = (o.o_custkey * 3 + 1) % n WHERE x.c_nationkey <> y.c_nationkey""")
+def pair_through_mapping_whole(t):
+    """The mapping reaches every customer's key."""
+    n = F.broadcast(t("customer").agg((F.max("c_custkey") + 1).alias("n")))  # one row
+    return _mapped_pairs(t, t("orders").join(n).select(F.col("o_custkey").alias("x"), ((F.col("o_custkey") * 3 + 1) % F.col("n")).alias("y")))
+
+
+def _mapped_pairs(t, p):
     c = t("customer").select("c_custkey", "c_nationkey")
-    p = t("orders").select(F.col("o_custkey").alias("x"), ((F.col("o_custkey") * 3 + 1) % 150).alias("y")).distinct()
+    p = p.distinct()
     p = p.join(c.toDF("x", "nx"), "x").join(c.toDF("y", "ny"), "y").where("nx <> ny")
     return p.select(F.least("nx", "ny").alias("a"), F.greatest("nx", "ny").alias("b")).distinct()
 
@@ -307,7 +318,17 @@ def facet_search(t):
 @query("""WITH g AS (SELECT md5(text) AS gold, min(doc_id) AS want FROM documents WHERE doc_id < 100 GROUP BY 1), n AS (SELECT md5(text) AS gold, min(doc_id) AS got FROM documents WHERE doc_id <> 5 GROUP BY 1) SELECT want, got, want IS NOT DISTINCT FROM got AS ok FROM g LEFT JOIN n USING (gold)""")
 def regression_gate(t):
     d = t("documents").select("doc_id", F.md5("text").alias("gold"))
-    gold = d.where("doc_id < 100").groupBy("gold").agg(F.min("doc_id").alias("want"))
+    return _gold_check(d.where("doc_id < 100"), d)
+
+
+@query("""WITH g AS (SELECT md5(text) AS gold, min(doc_id) AS want FROM documents GROUP BY 1), n AS (SELECT md5(text) AS gold, min(doc_id) AS got FROM documents WHERE doc_id <> 5 GROUP BY 1) SELECT want, got, want IS NOT DISTINCT FROM got AS ok FROM g LEFT JOIN n USING (gold)""")
+def regression_gate_whole(t):
+    d = t("documents").select("doc_id", F.md5("text").alias("gold"))
+    return _gold_check(d, d)
+
+
+def _gold_check(held, d):
+    gold = held.groupBy("gold").agg(F.min("doc_id").alias("want"))
     now = d.where("doc_id <> 5").groupBy("gold").agg(F.min("doc_id").alias("got"))
     return gold.join(now, "gold", "left").select("want", "got", F.col("want").eqNullSafe(F.col("got")).alias("ok"))
 

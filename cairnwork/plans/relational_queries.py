@@ -91,7 +91,18 @@ def block_join_year(t):
 SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND abs(a.y - b.y) <= 1 AND a.o_orderkey <> b.o_orderkey WHERE a.o_orderkey % 7 = 0""")
 def year_bucket_join(t):
     o = t("orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y"))
-    left = o.where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("a"), "o_custkey", "y")
+    return _near_years(o.where("o_orderkey % 7 = 0"), o)
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
+SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND abs(a.y - b.y) <= 1 AND a.o_orderkey <> b.o_orderkey""")
+def year_bucket_join_whole(t):
+    o = t("orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y"))
+    return _near_years(o, o)
+
+
+def _near_years(left, o):
+    left = left.select(F.col("o_orderkey").alias("a"), "o_custkey", "y")
     return R.year_bucket_join(left, o.select(F.col("o_orderkey").alias("b"), "o_custkey", F.col("y").alias("y2")), ["o_custkey"], "y", "y2", 1).where("a <> b").select("a", "b")
 
 

@@ -124,7 +124,18 @@ def match_verdicts_pass2_whole(t):
 FROM s a JOIN s b ON a.k < b.k AND a.k % 10 = b.k % 10)
 SELECT a, b, CASE WHEN shared = 0 AND na >= 3 AND nb >= 3 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 AND score < 90 AND gap > 1 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 THEN 'TIEBREAKER_PASS' ELSE 'PASS' END AS gate FROM p""")
 def match_gate(t):
-    s = t("lineitem").where("l_suppkey < 60").groupBy(F.col("l_suppkey").alias("k")).agg(F.collect_set("l_partkey").alias("parts")).withColumn("m", F.col("k") % 10)
+    return _gates(t("lineitem").where("l_suppkey < 60"))
+
+
+@query("""WITH s AS (SELECT l_suppkey AS k, list_distinct(list(l_partkey)) AS parts FROM lineitem GROUP BY 1), p AS (SELECT a.k AS a, b.k AS b, len(a.parts) AS na, len(b.parts) AS nb, len(list_intersect(a.parts, b.parts)) AS shared, (a.k * 7 + b.k) % 100 AS score, abs(a.k - b.k) % 4 AS gap
+FROM s a JOIN s b ON a.k < b.k AND a.k % 10 = b.k % 10)
+SELECT a, b, CASE WHEN shared = 0 AND na >= 3 AND nb >= 3 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 AND score < 90 AND gap > 1 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 THEN 'TIEBREAKER_PASS' ELSE 'PASS' END AS gate FROM p""")
+def match_gate_whole(t):
+    return _gates(t("lineitem"))
+
+
+def _gates(items):
+    s = items.groupBy(F.col("l_suppkey").alias("k")).agg(F.collect_set("l_partkey").alias("parts")).withColumn("m", F.col("k") % 10)
     p = R.block_pairs(s, "k", ["m"])
     a, b = F.col("a.parts"), F.col("b.parts")
     gate = E.image_gate(F.size(a), F.size(b), X.overlap(a, b), (F.col("a.k") * 7 + F.col("b.k")) % 100, F.abs(F.col("a.k") - F.col("b.k")) % 4)
@@ -153,6 +164,14 @@ def component_safety(t):
     return E.safe_components(e, "u", "v", bad)
 
 
+@query()
+def component_safety_whole(t):
+    """Edges and bad pairs of all orders."""
+    o = t("orders").select(F.col("o_orderkey").alias("u"), "o_custkey")
+    e = o.select("u", (F.col("u") + F.col("o_custkey") % 3 + 1).alias("v"))
+    return E.safe_components(e, "u", "v", o.select("u", (F.col("u") + 1).alias("v")))
+
+
 @query("""WITH e AS (SELECT DISTINCT l_suppkey % 40 AS a, 40 + l_partkey % 40 AS b FROM lineitem WHERE l_quantity = 50), b AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e), h AS (SELECT u AS hub, count(*) AS degree FROM b GROUP BY 1 HAVING count(*) > 2),
 n AS (SELECT hub, v AS x FROM h JOIN b ON u = hub), l AS (SELECT n.hub, count(*) AS linked FROM n JOIN n m ON n.hub = m.hub AND n.x < m.x JOIN b ON b.u = n.x AND b.v = m.x GROUP BY 1)
 SELECT hub, degree, coalesce(linked, 0) AS linked, coalesce(linked, 0) = degree * (degree - 1) / 2 AS clique FROM h LEFT JOIN l USING (hub)""")

@@ -1,5 +1,6 @@
 """Queries that do the whole job, against brute force on small tables with what a cut would lose."""
 
+from datetime import date
 from itertools import combinations
 
 from cairnwork.functions import text as X
@@ -41,3 +42,27 @@ def test_name_scores_of_whole_texts(spark, tmp_path):
         both = X.sort_ratio(texts[a], texts[b]), X.set_ratio(texts[a], texts[b])
         assert (strict, loose) == (min(both), max(both))
     assert got[1, 2][0] < got[1, 3][0] == 100
+
+
+def test_rows_outside_the_fixed_subsets(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.createDataFrame([(61, 1), (61, 2), (61, 3), (71, 4), (71, 5), (71, 6), (5, 1), (65, 1)], "l_suppkey long, l_partkey long").write.parquet(f"{sf}/lineitem.parquet")
+    custs = [(k, k % 3) for k in range(400)]
+    spark.createDataFrame(custs, "c_custkey long, c_nationkey int").write.parquet(f"{sf}/customer.parquet")
+    orders = [(k, c, date(1990 + k % 4, 5, 1)) for k, c in [(1, 301), (2, 301), (3, 301), (10, 3), (20, 1), (21, 6)]]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date").write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame([(1, "a"), (5, "b"), (150, "c"), (151, "c")], "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    got = {n: sorted(map(tuple, QUERIES[f"{n}_whole"](spark, sf).collect()), key=str) for n in ("match_gate", "year_bucket_join", "component_safety", "regression_gate", "pair_through_mapping")}
+    assert got["match_gate"] == [(5, 65, "PASS"), (61, 71, "BLOCK")]
+    assert got["year_bucket_join"] == sorted(((k, m) for k, c, y in orders for m, d, z in orders if k != m and c == d and abs(y.year - z.year) <= 1), key=str)
+    links = [(k, k + c % 3 + 1) for k, c, _ in orders]
+    root = {n: n for e in links for n in e}
+    for _ in root:
+        for u, v in links:
+            root[u] = root[v] = min(root[u], root[v])
+    bad = {root[k] for k, *_ in orders if root.get(k + 1) == root[k]}
+    size = {r: sum(x == r for x in root.values()) for r in root.values()}
+    assert got["component_safety"] == sorted(((n, r, size[r], size[r] <= 4 and r not in bad) for n, r in root.items()), key=str)
+    assert got["regression_gate"] == sorted([(1, 1, True), (5, None, False), (150, 150, True)], key=str)
+    nation, ends = dict(custs), [(c, (3 * c + 1) % 400) for _, c, _ in orders]
+    assert got["pair_through_mapping"] == sorted({tuple(sorted((nation[x], nation[y]))) for x, y in ends if nation[x] != nation[y]}, key=str)
