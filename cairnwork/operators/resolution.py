@@ -69,6 +69,9 @@ def year_family(gap: Column) -> Column:
 
 # --- clusters ----------------------------------------------------------------------------------
 
+#: Bits of a hash: signed integers are compared as 64 bits.
+ALL64 = (1 << 64) - 1
+
 
 def clusters(nodes: DataFrame, node: str, edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, cluster): the component's smallest node; nodes without an edge are their own."""
@@ -110,7 +113,7 @@ def source_disjoint_clusters(df: DataFrame, group: str, item: str, source: str,
         out = []
         for i, s, h in zip(pdf[item], pdf[source], pdf[hash_col]):
             for hashes, sources, name in made:
-                if s not in sources and all((int(h) ^ x).bit_count() <= radius for x in hashes):
+                if s not in sources and all(((int(h) ^ x) & ALL64).bit_count() <= radius for x in hashes):
                     hashes.append(int(h))
                     sources.add(s)
                     out.append(name)
@@ -131,7 +134,7 @@ def greedy_shortlist(df: DataFrame, group: str, item: str, rank: str, hash_col:
         taken: list[int] = []
         rows = []
         for g, i, h in pdf.sort_values(list(dict.fromkeys((rank, item))))[[group, item, hash_col]].itertuples(index=False):
-            if len(taken) < k and all((int(h) ^ x).bit_count() > radius for x in taken):
+            if len(taken) < k and all(((int(h) ^ x) & ALL64).bit_count() > radius for x in taken):
                 taken.append(int(h))
                 rows.append((g, i, len(taken)))
         return pd.DataFrame(rows, columns=[group, item, "place"])

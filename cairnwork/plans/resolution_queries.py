@@ -244,6 +244,11 @@ def _bits(t):
     return t("embeddings").select("vec_id", "label", F.array_join(F.transform("embedding", lambda x: F.when(x > 0, "1").otherwise("0")), "").alias("bits"))
 
 
+def _hashes(t, *columns):
+    """The columns and h: all 64 sign bits as a signed integer."""
+    return _bits(t).select(*columns, "vec_id", "label", F.conv("bits", 2, -10).cast("long").alias("h"))
+
+
 def _far(a, b):
     limb = lambda c, i: F.conv(F.substring(c, i, 32), 2, 10).cast("long")
     return sum((F.bit_count(limb(a, i).bitwiseXOR(limb(b, i))) for i in (1, 33)), F.lit(0))
@@ -281,14 +286,12 @@ def shortlist_p1(t):
 
 @query()
 def shortlist_p2(t):
-    h = _bits(t).select("label", "vec_id", (F.conv(F.substring("bits", 1, 32), 2, 10).cast("long") * (1 << 31) + F.conv(F.substring("bits", 33, 31), 2, 10).cast("long")).alias("h"))
-    return E.greedy_shortlist(h, "label", "vec_id", "vec_id", "h", 24, 3)
+    return E.greedy_shortlist(_hashes(t), "label", "vec_id", "vec_id", "h", 24, 3)
 
 
 @query()
 def source_disjoint_clusters(t):
-    h = _bits(t).select((F.col("vec_id") % 25).alias("grp"), "vec_id", "label", F.conv(F.substring("bits", 1, 32), 2, 10).cast("long").alias("h"))
-    return E.source_disjoint_clusters(h, "grp", "vec_id", "label", "h", 12)
+    return E.source_disjoint_clusters(_hashes(t, (F.col("vec_id") % 25).alias("grp")), "grp", "vec_id", "label", "h", 12)
 
 
 @query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), u AS (SELECT e FROM v WHERE vec_id = 3),

@@ -1,5 +1,6 @@
 """Queries that do the whole job, against brute force on small tables with what a cut would lose."""
 
+import random
 from datetime import date
 from itertools import combinations
 
@@ -66,3 +67,32 @@ def test_rows_outside_the_fixed_subsets(spark, tmp_path):
     assert got["regression_gate"] == sorted([(1, 1, True), (5, None, False), (150, 150, True)], key=str)
     nation, ends = dict(custs), [(c, (3 * c + 1) % 400) for _, c, _ in orders]
     assert got["pair_through_mapping"] == sorted({tuple(sorted((nation[x], nation[y]))) for x, y in ends if nation[x] != nation[y]}, key=str)
+
+
+def test_all_64_sign_bits_count(spark, tmp_path):
+    r = random.Random(3)
+    base = [[r.choice((-1.0, 1.0)) for _ in range(64)] for _ in range(3)]
+    flipped = lambda v, at: [-x if i in at else x for i, x in enumerate(v)]
+    # changes in the first bit, in the second half only, and of random places
+    vecs = [flipped(base[i % 3], {0, 63} if i % 4 == 0 else set(range(40, 54)) if i % 4 == 1 else set(r.sample(range(64), r.randint(0, 30)))) for i in range(150)]
+    rows = [(25 * i + i % 2, i % 5, v) for i, v in enumerate(vecs)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    far = lambda a, b: sum((x > 0) != (y > 0) for x, y in zip(a, b))
+    made, want = {}, []
+    for k, label, v in sorted(rows):
+        for own in made.setdefault(k % 25, []):
+            if label not in own[1] and all(far(v, x) <= 12 for x in own[0]):
+                break
+        else:
+            made[k % 25].append(own := ([], set(), k))
+        own[0].append(v)
+        own[1].add(label)
+        want.append((k % 25, k, own[2]))
+    assert sorted(map(tuple, QUERIES["source_disjoint_clusters"](spark, str(tmp_path)).collect())) == sorted(want)
+    taken, short = {}, []
+    for k, label, v in sorted(rows):
+        own = taken.setdefault(label, [])
+        if len(own) < 3 and all(far(v, x) > 24 for x in own):
+            own.append(v)
+            short.append((label, k, len(own)))
+    assert sorted(map(tuple, QUERIES["shortlist_p2"](spark, str(tmp_path)).collect())) == sorted(short)
