@@ -6,6 +6,7 @@ import re
 import unicodedata
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -112,6 +113,18 @@ def name_scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"strict": [min(r) for r in rows], "loose": [max(r) for r in rows]})
 
 
+@F.pandas_udf(T.DoubleType())
+def count_cosine(ta: pd.Series, na: pd.Series, tb: pd.Series, nb: pd.Series) -> pd.Series:
+    """Cosine of two term counts: sorted distinct terms and the count of each; 0 without terms."""
+
+    def one(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray) -> float:
+        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+        size = float((n * n).sum()) * float((m * m).sum())
+        return float((n[i] * m[j]).sum()) / size**0.5 if size else 0.0
+
+    return pd.Series([one(*map(np.asarray, r)) for r in zip(ta, na, tb, nb)], dtype="float64")
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio, direct or of the sorted tokens, whichever is more."""

@@ -9,7 +9,8 @@ from cairnwork.functions import values as V
 from cairnwork.operators import relational as R
 from cairnwork.operators import resolution as E
 from cairnwork.plans.registry import query
-from cairnwork.plans.resolution_queries import SCORED, _pairs
+from cairnwork.plans.resolution_queries import SCORED, TOK, WHOLE, _pairs, _whole_pairs
+from cairnwork.plans.storage import cut
 
 
 @query(f"""WITH {SCORED}, p AS (SELECT a, b, score FROM j JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE score > 0.3 AND (x.source = y.source OR x.lang = y.lang)) SELECT a, b, CASE WHEN score >= 0.92 THEN 'confirmed' WHEN score >= 0.6 THEN 'review' ELSE 'reject' END AS verdict FROM p""")
@@ -19,6 +20,23 @@ def two_pass_dedup(t):
     return p.select("a", "b", F.when(F.col("score") >= 0.92, "confirmed").when(F.col("score") >= 0.6, "review").otherwise("reject").alias("verdict"))
 
 
+@query(f"""WITH {WHOLE}, p AS (SELECT a, b FROM w JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact > 0.3 AND (x.source = y.source OR x.lang = y.lang)),
+tc AS (SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest({TOK}) AS token FROM documents) GROUP BY 1, 2), sq AS (SELECT doc_id, CAST(sum(n * n) AS DOUBLE) AS q FROM tc GROUP BY 1),
+dot AS (SELECT a, b, CAST(sum(x.n * y.n) AS DOUBLE) AS d FROM p JOIN tc x ON x.doc_id = a JOIN tc y ON y.doc_id = b AND y.token = x.token GROUP BY 1, 2),
+c AS (SELECT a, b, round(d / sqrt(x.q * y.q), 6) AS cosine FROM dot JOIN sq x ON x.doc_id = a JOIN sq y ON y.doc_id = b)
+SELECT a, b, cosine, CASE WHEN cosine >= 0.92 THEN 'confirmed' WHEN cosine >= 0.85 THEN 'review' ELSE 'reject' END AS verdict FROM c""")
+def two_pass_dedup_whole(t):
+    """First pass: Jaccard over 0.3, over all tokens, and the same source or language. Second pass: cosine of the whole texts' term counts."""
+    d = t("documents").select("doc_id", "source", "lang")
+    p = R.jaccard_pairs(*_whole_pairs(t, 0.3), "doc_id").where("both * 10 > n * 3").join(d.toDF("a", "sa", "la"), "a").join(d.toDF("b", "sb", "lb"), "b").where("sa = sb OR la = lb")
+    each = t("documents").select("doc_id", F.explode(F.transform(X.tokens(F.col("text")), lambda x: F.xxhash64(x))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    terms = each.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term", "n"))).alias("c"))
+    terms = cut(terms.select("doc_id", F.col("c.term").alias("t"), F.col("c.n").alias("n")), "terms")
+    p = p.select("a", "b").join(terms.toDF("a", "ta", "na"), "a").join(terms.toDF("b", "tb", "nb"), "b")
+    p = p.select("a", "b", F.round(X.count_cosine("ta", "na", "tb", "nb"), 6).alias("cosine"))
+    return p.withColumn("verdict", F.when(F.col("cosine") >= 0.92, "confirmed").when(F.col("cosine") >= 0.85, "review").otherwise("reject"))
+
+
 @query("""WITH s AS (SELECT md5(text) AS h, min(doc_id) AS id, count(*) AS n, count(DISTINCT source) AS sources, min(lang) AS lang, string_agg(DISTINCT source, ',' ORDER BY source) AS refs FROM documents GROUP BY 1)
 SELECT id, n, sources, lang, refs, CASE WHEN sources >= 3 THEN 'T1' WHEN sources = 2 THEN 'T2' ELSE 'T3' END AS tier FROM s""")
 def strict_assembly(t):

@@ -1,6 +1,7 @@
 """Queries that do the whole job, against brute force on small tables with what a cut would lose."""
 
 import random
+from collections import Counter
 from datetime import date
 from itertools import combinations
 
@@ -96,3 +97,20 @@ def test_all_64_sign_bits_count(spark, tmp_path):
             own.append(v)
             short.append((label, k, len(own)))
     assert sorted(map(tuple, QUERIES["shortlist_p2"](spark, str(tmp_path)).collect())) == sorted(short)
+
+
+def test_second_pass_confirms_by_term_counts(spark, tmp_path):
+    often = " ".join(["common words"] * 40)
+    texts = {1: f"{often} a b", 2: f"{often} a d", 3: "x y z u", 4: "x y z v", 5: "x y q r", 6: "a b c " * 9 + "d d d d d"}
+    rows = [(i, t, "en", f"s{i}") for i, t in texts.items()] + [(7, "x y z u", "de", "s7"), (8, "x y z u", "fr", "s3"), (9, None, "en", "s9")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.a, r.b): (r.cosine, r.verdict) for r in QUERIES["two_pass_dedup_whole"](spark, str(tmp_path)).collect()}
+    facts = {i: (t, lang, source) for i, t, lang, source in rows}
+    cand = {(a, b) for a, b, s in jaccards([r[:2] for r in rows], 0.3) if s > 0.3 and (facts[a][1] == facts[b][1] or facts[a][2] == facts[b][2])}
+    counts = {i: Counter((t or "").split()) for i, (t, *_) in facts.items()}
+    size = {i: sum(n * n for n in c.values()) for i, c in counts.items()}
+    want = {(a, b): round(sum(n * counts[b][k] for k, n in counts[a].items()) / (size[a] * size[b]) ** 0.5, 6) for a, b in cand}
+    assert {k: c for k, (c, _) in got.items()} == want
+    assert all(v == ("confirmed" if c >= 0.92 else "review" if c >= 0.85 else "reject") for c, v in got.values())
+    assert got[1, 2][1] == "confirmed"  # a Jaccard of 0.6
+    assert got[3, 8] == (1.0, "confirmed") and got[3, 4] == (0.75, "reject") and (3, 7) not in got
