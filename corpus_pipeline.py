@@ -15,9 +15,10 @@ ORACLE_SQL = None
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    """docs with `__id`: the doc_id, or for a row without one a number above all real ones that follows from its text."""
-    stand_in = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(1 << 62)
-    return docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
+    """docs with `__row`, a hash of the whole row, and `__id`, which orders rows by doc_id, those without one last, and then by that hash."""
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.withColumn("__row", F.xxhash64(*docs.columns))
+    return rows.withColumn("__id", F.struct(doc_id.isNull().alias("without"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"), "__row"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row of least doc_id, and of rows that share it one. A row without doc_id stays only where no other does."""
+    """Of each group of near copies the row of least doc_id, and of rows of the group that share it one. A row without doc_id stays only where no other does.
+
+    Rows of one doc_id whose texts are no near copies are judged apart.
+    """
     rows = _identified(docs)
     found = simhash.classes(rows, key="__id")
     kept = found.where("__id = component_id").select("__id").distinct()
@@ -35,10 +39,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window. Of rows that share a doc_id all go if one has a window."""
+    """Rows without a benchmark window; rows that share a doc_id are judged apart."""
     rows = _identified(docs)
-    found = decontam.match(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__id")
-    return rows.join(found.where("contaminated").select("__id").distinct(), "__id", "left_anti").select(*docs.columns)
+    found = decontam.match(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__row")
+    return rows.join(found.where("contaminated").select("__row").distinct(), "__row", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

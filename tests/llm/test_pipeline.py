@@ -2,7 +2,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline as cp
 from cairnwork.llm import mixing
-from tests.llm.fixtures import docs, rows, saved
+from tests.llm.fixtures import docs, rows, saved, words
 from tests.llm.test_langid_decontam_simhash import ITEMS, brute_classes, brute_decontam
 
 
@@ -56,3 +56,16 @@ def test_rows_without_id(spark, tmp_path):
     both = stages["SimHash near-dedup"](spark, d.union(lost), str(tmp_path)).where("doc_id IS NULL")
     assert sorted(r.text for r in both.collect()) == sorted(["only here and nowhere else", ITEMS[0][1]])
     assert [r.text for r in stages["benchmark decontamination"](spark, both, str(tmp_path)).collect()] == ["only here and nowhere else"]
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark, tmp_path):
+    d = docs(spark)
+    own, other, copied = (" ".join(words(150, seed)) for seed in (91, 92, 93))
+    held = [(5, copied, "en", "a", 1), (9, copied, "en", "a", 1), (9, own, "en", "a", 1), (9, other, "de", "b", 1), (None, other, "en", "a", 1), (9, own, "en", "b", 1), (3, ITEMS[0][1], "en", "a", 1), (3, own[::-1], "en", "a", 1)]
+    spark.createDataFrame(ITEMS[:1], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(cp.STAGES)
+    for order in (held, held[::-1]):
+        kept = stages["SimHash near-dedup"](spark, spark.createDataFrame(order, d.schema), str(tmp_path))
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(5, copied), (9, own), (9, other), (3, ITEMS[0][1]), (3, own[::-1])])
+        clean = stages["benchmark decontamination"](spark, kept, str(tmp_path)).where("doc_id = 3")
+        assert [r.text for r in clean.collect()] == [own[::-1]]
