@@ -109,14 +109,24 @@ def coverage_sample(t):
 
 @query()
 def greedy_no_reuse(t):
-    """Ten pairs in hash order, no endpoint twice; the 200 first pairs are looked at on the driver, by definition of the pick."""
-    p = _pairs(t).withColumn("h", F.sha2(F.concat_ws("|", "a", "b"), 256)).orderBy("h").limit(200)
+    """Ten pairs in hash order, no endpoint twice, or as many as there are."""
+    return _picked(_pairs(t), 10)
+
+
+def _picked(pairs, most, batch=200):
+    """Greedy pick in hash order. The driver sees batches of the first pairs whose endpoints are both free; each batch gives one pair at least."""
+    p = cut(pairs.select("a", "b", F.sha2(F.concat_ws("|", "a", "b"), 256).alias("h")), "pool")
     used: set = set()
     rows = []
-    for r in p.select("a", "b").collect():
-        if len(rows) < 10 and not {r["a"], r["b"]} & used:
-            used |= {r["a"], r["b"]}
-            rows.append((len(rows) + 1, r["a"], r["b"]))
+    while len(rows) < most:
+        first = p.where(~F.col("a").isin(*used) & ~F.col("b").isin(*used)) if used else p
+        got = first.orderBy("h").limit(batch).select("a", "b").collect()
+        if not got:
+            break
+        for r in got:
+            if len(rows) < most and not {r["a"], r["b"]} & used:
+                used |= {r["a"], r["b"]}
+                rows.append((len(rows) + 1, r["a"], r["b"]))
     return p.sparkSession.createDataFrame(rows, "place int, a long, b long")
 
 

@@ -1,5 +1,6 @@
 """Queries that do the whole job, against brute force on small tables with what a cut would lose."""
 
+import hashlib
 import random
 from collections import Counter
 from datetime import date
@@ -7,6 +8,7 @@ from itertools import combinations
 
 from cairnwork.functions import text as X
 from cairnwork.plans.catalogue import QUERIES
+from cairnwork.plans.review_queries import _picked
 
 WORDS = [f"w{i}" for i in range(40)]
 
@@ -114,3 +116,16 @@ def test_second_pass_confirms_by_term_counts(spark, tmp_path):
     assert all(v == ("confirmed" if c >= 0.92 else "review" if c >= 0.85 else "reject") for c, v in got.values())
     assert got[1, 2][1] == "confirmed"  # a Jaccard of 0.6
     assert got[3, 8] == (1.0, "confirmed") and got[3, 4] == (0.75, "reject") and (3, 7) not in got
+
+
+def test_pick_goes_on_past_a_hub(spark):
+    pairs = [(0, i) for i in range(1, 60)] + [(100 + 2 * i, 101 + 2 * i) for i in range(6)]
+    order = sorted(pairs, key=lambda p: hashlib.sha256(f"{p[0]}|{p[1]}".encode()).hexdigest())
+    want, used = [], set()
+    for a, b in order:
+        if not {a, b} & used:
+            used |= {a, b}
+            want.append((len(want) + 1, a, b))
+    d = spark.createDataFrame(pairs, "a long, b long")
+    for most in (3, 10):
+        assert list(map(tuple, _picked(d, most, batch=2).orderBy("place").collect())) == want[:most]
