@@ -41,7 +41,13 @@ def clopper_pearson(k: int, n: int, alpha: float = 0.05) -> tuple[float, float]:
 
 
 def beta_accuracy(cells: list[tuple[int, int, float]], draws: int = 4000, seed: int = 7) -> tuple[float, float, float]:
-    """(mean, 2.5 %, 97.5 %) of the weighted accuracy of cells (right, checked, weight), from Beta posteriors with a flat prior."""
-    r, total = random.Random(seed), sum(w for *_, w in cells)
-    got = sorted(sum(w * r.betavariate(k + 1, n - k + 1) for k, n, w in cells) / total for _ in range(draws))
+    """(mean, 2.5 %, 97.5 %) of the weighted accuracy of cells (right, checked, weight), from Beta posteriors with Jeffreys' prior.
+
+    A cell of which nothing was checked has no posterior and is left out; without any other the answer is (nan, nan, nan).
+    """
+    known = [c for c in cells if c[1] > 0]
+    r, total = random.Random(seed), sum(w for *_, w in known)
+    if not total:
+        return (math.nan,) * 3
+    got = sorted(sum(w * r.betavariate(k + 0.5, n - k + 0.5) for k, n, w in known) / total for _ in range(draws))
     return sum(got) / draws, got[int(0.025 * draws)], got[int(0.975 * draws) - 1]

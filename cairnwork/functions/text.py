@@ -136,6 +136,12 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x or "", y or "") for x, y in zip(a, b)])
 
 
+@F.pandas_udf(T.DoubleType())
+def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Matching-blocks ratio of two texts as they stand, from 0 to 1."""
+    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
+
+
 def clean_controls(c: Column) -> Column:
     """Control characters out, runs of blanks to one."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]", ""), "[ \\t]+", " "))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairnwork.plans.storage import cut
+
 # --- joins -------------------------------------------------------------------------------------
 
 
@@ -26,17 +28,47 @@ def year_bucket_join(left: DataFrame, right: DataFrame, on: list[str], left_year
     return spread.join(right.withColumn("__year", F.col(right_year)), [*on, "__year"]).drop("__year")
 
 
-def token_pairs(df: DataFrame, id_col: str, token_col: str, least: int, max_df: int) -> DataFrame:
-    """(a, b, shared) of rows that share at least `least` tokens, each of which at most max_df rows have.
+def near_years(left: DataFrame, right: DataFrame, on: list[str], left_year: str, right_year: str, reach: int) -> DataFrame:
+    """Rows with equal keys and years at most reach apart, or without a year on either side.
+
+    Known years meet by an equi join on the year, rows without one by the keys alone, in two branches that share no pair.
+    """
+    known = year_bucket_join(left, right.where(F.col(right_year).isNotNull()), on, left_year, right_year, reach)
+    right_only = left.where(F.col(left_year).isNull()).join(right, on)
+    left_only = left.where(F.col(left_year).isNotNull()).join(right.where(F.col(right_year).isNull()), on)
+    return known.unionByName(right_only).unionByName(left_only)
+
+
+def shared_token_pairs(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str, token_col: str, least: int = 2) -> DataFrame:
+    """(left_id, right_id) of rows with equal keys that share at least two tokens; a row appears once per pair.
 
-    The cap on frequency is part of the operator: a token of a frequent kind is no evidence. It also bounds the pairs per token.
+    Rows meet on two tokens at once, so a frequent token alone brings nothing together. Names are short: a row has few pairs of tokens.
     """
-    each = df.select(id_col, F.explode(F.array_distinct(token_col)).alias("token"))
-    rare = each.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df").between(2, max_df)).select("token")
-    posted = each.join(rare, "token")
+    assert least == 2
+    each = lambda df, i: df.select(i, *on, F.array_sort(F.array_distinct(token_col)).alias("__t")).select(i, *on, F.explode(F.flatten(F.transform("__t", lambda x, k: F.transform(F.slice("__t", k + 2, F.size("__t")), lambda y: F.struct(x.alias("x"), y.alias("y")))))).alias("__p"))
+    return each(left, left_id).join(each(right, right_id), [*on, "__p"]).select(left_id, right_id).distinct()
+
+
+def banded_pairs(df: DataFrame, id_col: str, limbs: list[str], bands: int, radius: int) -> DataFrame:
+    """(a, b, d) with a < b of rows whose hashes differ in d <= radius bits; a hash stands in `limbs`, columns of 64-bit integers.
+
+    Band k has the bits k, k + bands, ..., so rows nearer than `bands` agree in one band. Rows meet on each band; a pair counts only in the first
+    band in which it agrees, which makes it once without another shuffle. radius must be below bands.
+    """
+    assert radius < bands
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    masks = [[signed(sum(1 << i for i in range(64) if (64 * limb + i) % bands == k)) for limb in range(len(limbs))] for k in range(bands)]
+    part = lambda row, k: [F.col(f"{row}{c}").bitwiseAND(F.lit(m)) for c, m in zip(limbs, masks[k])]
+    keys = F.array(*(F.struct(F.lit(k).alias("band"), F.xxhash64(*part("", k)).alias("key")) for k in range(bands)))
+    posted = df.select(F.col(id_col).alias("id"), *limbs, F.explode(keys).alias("__k")).select("id", *limbs, "__k.*")
     a, b = posted.alias("a"), posted.alias("b")
-    both = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col(f"a.{id_col}") < F.col(f"b.{id_col}")))
-    return both.groupBy(F.col(f"a.{id_col}").alias("a"), F.col(f"b.{id_col}").alias("b")).agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    differ = [F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")) for c in limbs]
+    d = reduce(lambda x, y: x + y, (F.bit_count(x) for x in differ))
+    first = F.lit(None).cast("int")
+    for k in reversed(range(bands)):
+        first = F.when(reduce(lambda x, y: x & y, (x.bitwiseAND(F.lit(m)) == 0 for x, m in zip(differ, masks[k]))), k).otherwise(first)
+    on = (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (d <= radius) & (first == F.col("a.band"))
+    return a.join(b, on).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), d.alias("d"))
 
 
 def equal_sets(df: DataFrame, id_col: str, token_col: str) -> DataFrame:
@@ -166,6 +198,24 @@ def positions(df: DataFrame, keys: list[str], *order: Column, name: str = "sort_
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
 
 
+def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """df with the sum of `value` over all rows before, in the order of a column without repeats.
+
+    Rows are dealt into ranges and stored, a total per range (a row per partition) gives each its start, and a window runs inside a range only.
+    """
+    ranged = cut(df.repartitionByRange(order).withColumn("__p", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("__p").agg(F.sum(value).alias("__t"))
+    ahead = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.broadcast(totals.select("__p", F.coalesce(F.sum("__t").over(ahead), F.lit(0)).alias("__s")))  # a row for each range
+    inside = Window.partitionBy("__p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(starts, "__p").withColumn(name, F.col("__s") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("__p", "__s")
+
+
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """df with gapless numbers from 1 in the order of a column without repeats."""
+    return running_total(df.withColumn("__one", F.lit(1).cast("long")), order, "__one", "__b").withColumn(name, F.col("__b") + 1).drop("__one", "__b")
+
+
 # --- sets --------------------------------------------------------------------------------------
 
 

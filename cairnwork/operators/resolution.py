@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnwork.functions import text as X
+from cairnwork.operators import relational as R
 from cairnwork.operators.graph import components
 from cairnwork.plans.storage import cut
 
@@ -39,12 +43,13 @@ def image_gate(left_images: Column, right_images: Column, shared: Column, name_s
 
 
 def tiebreak(same_firm: Column, same_country: Column, same_city: Column, same_kind: Column, gap: Column, score: Column) -> Column:
-    """Ordered rules; null facts count as not known to be equal."""
-    same_year = gap == 0
+    """Ordered rules; a null fact is unknown, and an unknown firm counts as another one. The last two rules need both cities to be known."""
     yes = lambda c: F.coalesce(c, F.lit(False))
-    apart = F.coalesce(~same_country, F.lit(False)) | yes(gap >= 5)
-    same = yes(same_firm & same_year & same_city & (score >= 80)) | yes(same_firm & same_year & same_kind & (score >= 70)) | yes(same_firm & (score >= 95)) | yes(same_firm & same_city & (gap <= 1) & (score >= 75))
-    return F.when(apart, "DIFFERENT").when(same, "SAME").otherwise("UNDECIDED")
+    firm, year = yes(same_firm), yes(gap == 0)
+    apart = yes(~same_country) | yes(gap >= 5)
+    same = (firm & year & yes(same_city & (score >= 80))) | (firm & year & yes(same_kind & (score >= 70))) | (firm & yes(score >= 95)) | (firm & yes(same_city & (gap <= 1) & (score >= 75)))
+    other = (firm & yes(~same_city & ~same_kind & (score < 80))) | (~firm & yes(~same_city & (score < 85)))
+    return F.when(apart, "DIFFERENT").when(same, "SAME").when(other, "DIFFERENT").otherwise("UNDECIDED")
 
 
 def duplicate_score(name: Column, firm: Column, country: Column, city: Column, year: Column) -> Column:
@@ -52,6 +57,104 @@ def duplicate_score(name: Column, firm: Column, country: Column, city: Column, y
     return sum((w * F.coalesce(c.cast("double"), F.lit(0.0)) for w, c in ((0.40, name), (0.25, firm), (0.10, country), (0.10, city), (0.15, year))), F.lit(0.0))
 
 
+def matcher_verdict(name: Column, firm: Column, cosine: Column) -> Column:
+    """struct(verdict, confidence) from name likeness, firm overlap and cosine, each from 0 to 1: names and vectors must both speak for a match."""
+    row = lambda v, c: F.struct(F.lit(v).alias("verdict"), F.lit(c).alias("confidence"))
+    out = F.when((name >= 0.90) & (firm >= 0.70), row("accept_high", "name+architect")).when((cosine >= 0.93) & (name >= 0.70), row("accept_high", "cosine+name"))
+    out = out.when((name >= 0.80) & (cosine >= 0.85) & (firm >= 0.50), row("accept_medium", "name+cosine+architect")).when((cosine >= 0.85) & (name >= 0.50), row("needs_review", "mid_band"))
+    return out.when(name >= 0.80, row("needs_review", "name_high_cosine_mid")).otherwise(row("reject", "weak_signals"))
+
+
+def merge_flags(members: DataFrame, cluster: str, name: str, country: str, year: str, firm: str, generic: Column) -> DataFrame:
+    """(cluster, flags, review) of merged clusters of two members or more that have a generic name, or names that differ by a code only.
+
+    Countries, a span of over two years and codes need a review; differing firms are noted.
+    """
+    bare = F.regexp_replace(F.lower(F.col(name)), "[0-9]+", "")
+    g = members.groupBy(cluster).agg(
+        F.count("*").alias("n"), F.count_distinct(F.lower(name)).alias("names"), F.count_distinct(bare).alias("bares"), F.bool_or(generic).alias("generic"), F.count_distinct(F.lower(country)).alias("countries"),
+        (F.max(year) - F.min(year)).alias("span"), F.count_distinct(F.lower(firm)).alias("firms"),
+    ).where("n > 1")
+    code = (F.col("names") > 1) & (F.col("bares") == 1)
+    g = g.withColumn("code", code).where("generic OR code")
+    rules = {"country_conflict": F.col("countries") > 1, "year_span_conflict": F.col("span") > 2, "code_name_conflict": F.col("code"), "architect_text_conflict": F.col("firms") > 1}
+    flags = F.array_compact(F.array(*(F.when(c, n) for n, c in rules.items())))
+    hard = F.arrays_overlap("flags", F.array(*map(F.lit, list(rules)[:3])))
+    return g.select(cluster, flags.alias("flags")).where(F.size("flags") > 0).withColumn("review", hard)
+
+
+def exact_block_pairs(df: DataFrame, id_col: str, block: list[str], year: str, firms: str, generic: Column) -> DataFrame:
+    """(a, b, status, score) of rows with the same name and place: clustered at once if a firm and the year agree and the name says something, else open."""
+    rows = df.withColumn("__g", generic)
+    a, b = rows.alias("a"), rows.alias("b")
+    on = reduce(lambda x, y: x & y, (F.col(f"a.{c}") == F.col(f"b.{c}") for c in block)) & (F.col(f"a.{id_col}") < F.col(f"b.{id_col}"))
+    firm = F.coalesce(F.arrays_overlap(f"a.{firms}", f"b.{firms}"), F.lit(False))
+    same = F.coalesce(F.col(f"a.{year}") == F.col(f"b.{year}"), F.lit(False))
+    auto = firm & same & ~F.col("a.__g")
+    score = F.when(auto, 0.99).otherwise(0.72 + F.when(firm, 0.12).otherwise(0.0) + F.when(same, 0.06).otherwise(0.0))
+    return a.join(b, on).select(F.col(f"a.{id_col}").alias("a"), F.col(f"b.{id_col}").alias("b"), F.when(auto, "auto_clustered").otherwise("open").alias("status"), F.round(score, 4).alias("score"))
+
+
+def fuzzy_block_pairs(df: DataFrame, id_col: str, name: str, country: str, city: str, year: str, firms: str, generic: Column, least: float = 0.9, reach: int = 2) -> DataFrame:
+    """(a, b, likeness, score) of rows that share a firm and a country, whose years and cities do not contradict and whose names are alike but not equal.
+
+    No block is left out for its size. An edit distance that the wanted likeness allows is tested first, beside the join, so Python sees few pairs.
+    """
+    rows = df.where(~generic & F.col(country).isNotNull()).select(id_col, name, country, city, year, F.explode(firms).alias("__f"))
+    a, b = rows.alias("a"), rows.alias("b")
+    x, y = F.col(f"a.{name}"), F.col(f"b.{name}")
+    free = lambda c, ok: F.coalesce(ok, F.lit(True))
+    on = (F.col("a.__f") == F.col("b.__f")) & (F.col(f"a.{country}") == F.col(f"b.{country}")) & (F.col(f"a.{id_col}") < F.col(f"b.{id_col}")) & (x != y)
+    on = on & free(year, F.abs(F.col(f"a.{year}") - F.col(f"b.{year}")) <= reach) & free(city, F.col(f"a.{city}") == F.col(f"b.{city}")) & (F.levenshtein(x, y) <= (1 - least) * (F.length(x) + F.length(y)) + 1e-9)
+    met = a.join(b, on).select(F.col(f"a.{id_col}").alias("a"), F.col(f"b.{id_col}").alias("b"), x.alias("x"), y.alias("y"), F.coalesce(F.col(f"a.{city}") == F.col(f"b.{city}"), F.lit(False)).alias("same")).distinct()
+    alike = met.withColumn("likeness", X.matching_ratio("x", "y")).where(F.col("likeness") >= least)
+    return alike.select("a", "b", F.round("likeness", 4).alias("likeness"), F.round(0.55 + 0.35 * F.col("likeness") + F.when(F.col("same"), 0.05).otherwise(0.0), 4).alias("score"))
+
+
+def anchored(edges: DataFrame, a: str, b: str, eligible: str, anchor: Column, related: DataFrame) -> DataFrame:
+    """(a, b, status) of proposed merges: without an anchor (a name or an image) none is merged; an end with several merges keeps them only if all its
+    opponents are related to each other (related: a, b in any order), else they go to review.
+    """
+    e = edges.select(a, b, F.when(~F.col(eligible), "not_eligible").when(~anchor, "anchor_missing").otherwise("merge").alias("status"))
+    live = e.where("status = 'merge'").select(F.col(a).cast("string").alias("u"), F.col(b).cast("string").alias("v"))
+    both = live.select(F.concat(F.lit("a"), "u").alias("hub"), "v").union(live.select(F.concat(F.lit("b"), "v"), "u")).distinct()
+    many = both.groupBy("hub").agg(F.count("*").alias("degree")).where("degree > 1")
+    near = both.join(many, "hub")
+    link = related.select(F.col("a").cast("string").alias("p"), F.col("b").cast("string").alias("q"))
+    link = link.union(link.select("q", "p")).distinct()
+    closed = near.join(link, F.col("v") == F.col("p")).where("p < q").select("hub", "q").join(near.select(F.col("hub").alias("h2"), F.col("v").alias("v2")), (F.col("hub") == F.col("h2")) & (F.col("q") == F.col("v2"))).groupBy("hub").agg(F.count("*").alias("linked"))
+    open_ = many.join(closed, "hub", "left").where(F.coalesce("linked", F.lit(0)) < F.col("degree") * (F.col("degree") - 1) / 2).select("hub")
+    left, right = (open_.where(F.col("hub").startswith(s)).select(F.substring("hub", 2, 100).alias(f"__{s}"), F.lit(True).alias(f"__open_{s}")) for s in "ab")
+    out = e.join(left, F.col(a).cast("string") == F.col("__a"), "left").join(right, F.col(b).cast("string") == F.col("__b"), "left")
+    hurt = (F.col("status") == "merge") & (F.col("__open_a").isNotNull() | F.col("__open_b").isNotNull())
+    return out.select(a, b, F.when(hurt, "fanout_review").otherwise(F.col("status")).alias("status"))
+
+
+def transitions(old: DataFrame, new: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    """(key, changed, reasons, and both values of each field) over the keys of two versions. fields: column -> the reason given if it differs."""
+    x = old.select(key, *(F.col(f).alias(f"old_{f}") for f in fields), F.lit(True).alias("__x"))
+    y = new.select(key, *(F.col(f).alias(f"new_{f}") for f in fields), F.lit(True).alias("__y"))
+    j = x.join(y, key, "full")
+    rules = [F.when(F.col("__x").isNull(), "candidate_added"), F.when(F.col("__y").isNull(), "candidate_removed")]
+    rules += [F.when(~F.col(f"old_{f}").eqNullSafe(F.col(f"new_{f}")), reason) for f, reason in fields.items()]
+    reasons = F.array_compact(F.array(*rules))
+    return j.select(key, *(f"{v}_{f}" for f in fields for v in ("old", "new")), (F.size(reasons) > 0).alias("changed"), reasons.alias("reasons"))
+
+
+def gap_proposals(members: DataFrame, key: str, field: str, value: Column) -> DataFrame:
+    """(key, field, proposed, rule, sources) of gaps: proposed where all sources that know agree (single_source with one of them), else for review."""
+    known = members.withColumn("__v", value).where("__v IS NOT NULL").groupBy(key).agg(F.count_distinct("__v").alias("kinds"), F.count("*").alias("sources"), F.min("__v").alias("v"))
+    rule = F.when(F.col("kinds") > 1, "review_conflict").when(F.col("sources") > 1, "all_sources_agree").otherwise("single_source")
+    return known.select(key, F.lit(field).alias("field"), F.when(F.col("kinds") == 1, F.col("v")).alias("proposed"), rule.alias("rule"), "sources")
+
+
+def ranked_margin(df: DataFrame, group: str, item: str, tier: str, score: str, most_tier: int = 3) -> DataFrame:
+    """(group, first, c1, c2, margin, n_eligible): the best eligible item by tier, score, item, and how far its score is above the second's."""
+    rows = df.where(F.col(tier) < most_tier).groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(tier).alias("t"), (-F.col(score)).alias("s"), F.col(item).alias("i")))).alias("o"))
+    c = lambda k: F.coalesce(-F.get("o.s", F.lit(k)), F.lit(0.0))
+    return rows.select(group, F.get("o.i", F.lit(0)).alias("first"), F.round(c(0), 6).alias("c1"), F.round(c(1), 6).alias("c2"), F.round(c(0) - c(1), 6).alias("margin"), F.size("o").cast("long").alias("n_eligible"))
+
+
 EVIDENCE = ("name", "firm", "place", "year", "image", "external")
 
 
@@ -102,29 +205,44 @@ def fan_out(edges: DataFrame, a: str, b: str, most: int) -> DataFrame:
 
 
 def source_disjoint_clusters(df: DataFrame, group: str, item: str, source: str, hash_col: str, radius: int) -> DataFrame:
-    """(group, item, cluster): greedy clusters of near 64-bit hashes in which no source occurs twice.
+    """(group, item, cluster): clusters of near 64-bit hashes inside a group in which no source occurs twice, named by their least item.
 
-    Order matters to a greedy rule, so items are taken in the order of (item); a group must fit a task.
+    Pairs of different sources at most radius bits apart are joined in the order of (item, item), unless the two clusters share a source.
+    Such a rule depends on order, but only within what near pairs connect: a task sees one component's pairs, never a whole group.
+    An item without a hash or source is alone.
     """
+    nodes = cut(df.select(group, item, source, hash_col), "nodes")
+    a, b = nodes.alias("a"), nodes.alias("b")
+    near = F.bit_count(F.col(f"a.{hash_col}").bitwiseXOR(F.col(f"b.{hash_col}"))) <= radius
+    met = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (F.col(f"a.{item}") < F.col(f"b.{item}")) & (F.col(f"a.{source}") != F.col(f"b.{source}")) & near)
+    edges = cut(met.select(F.col(f"a.{item}").alias("u"), F.col(f"b.{item}").alias("v"), F.col(f"a.{source}").alias("su"), F.col(f"b.{source}").alias("sv")), "near")
+    roots = components(edges, "u", "v").withColumnRenamed("node", "u")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(item)
-        made: list[tuple[list[int], set, int]] = []
-        out = []
-        for i, s, h in zip(pdf[item], pdf[source], pdf[hash_col]):
-            for hashes, sources, name in made:
-                if s not in sources and all(((int(h) ^ x) & ALL64).bit_count() <= radius for x in hashes):
-                    hashes.append(int(h))
-                    sources.add(s)
-                    out.append(name)
-                    break
-            else:
-                made.append(([int(h)], {s}, i))
-                out.append(i)
-        return pd.DataFrame({group: pdf[group], item: pdf[item], "cluster": out})
-
-    schema = f"{group} {dict(df.dtypes)[group]}, {item} {dict(df.dtypes)[item]}, cluster {dict(df.dtypes)[item]}"
-    return df.select(group, item, source, hash_col).groupBy(group).applyInPandas(one, schema)
+        parent: dict = {}
+        held: dict = {}
+        for u, v, su, sv in pdf.sort_values(["u", "v"])[["u", "v", "su", "sv"]].itertuples(index=False):
+            ends = []
+            for x, s in ((u, su), (v, sv)):
+                held.setdefault(x, {s})
+                while (up := parent.setdefault(x, x)) != x:
+                    parent[x] = x = parent[up]
+                ends.append(x)
+            p, q = sorted(ends)
+            if p != q and held[p].isdisjoint(held[q]):
+                parent[q] = p
+                held[p] |= held[q]
+        rows = []
+        for x in held:
+            top = x
+            while parent[top] != top:
+                top = parent[top]
+            rows.append((x, top))
+        return pd.DataFrame(rows, columns=[item, "cluster"])
+
+    kind = dict(df.dtypes)[item]
+    made = edges.join(roots, "u").groupBy("root").applyInPandas(one, f"{item} {kind}, cluster {kind}")
+    return nodes.select(group, item).join(made, item, "left").select(group, item, F.coalesce("cluster", item).alias("cluster"))
 
 
 def greedy_shortlist(df: DataFrame, group: str, item: str, rank: str, hash_col: str, radius: int, k: int) -> DataFrame:
@@ -147,13 +265,10 @@ def greedy_shortlist(df: DataFrame, group: str, item: str, rank: str, hash_col:
 
 
 def match_or_create(known: DataFrame, new: DataFrame, key: str, id_col: str) -> DataFrame:
-    """(key, id, created): known keys keep their id; new keys take the next ones in the order of the key.
-
-    Only the new keys are numbered in one task; that many ids are issued per run.
-    """
+    """(key, id, created): known keys keep their id; new keys take the next ones in the order of the key."""
     fresh = new.select(key).distinct().join(known, key, "left_anti")
-    top = F.broadcast(known.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")))
-    made = fresh.withColumn("n", F.row_number().over(Window.orderBy(key))).join(top).select(key, (F.col("top") + F.col("n")).alias(id_col), F.lit(True).alias("created"))
+    top = F.broadcast(known.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")))  # one row
+    made = R.numbered(fresh, key, "__n").join(top).select(key, (F.col("top") + F.col("__n")).alias(id_col), F.lit(True).alias("created"))
     return known.join(new.select(key).distinct(), key, "left_semi").select(key, id_col, F.lit(False).alias("created")).unionByName(made)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cairnwork.functions import text as X
@@ -29,21 +28,19 @@ def bridge_join(t):
 
 
 @query("""WITH d AS (SELECT doc_id, source, md5(text) AS h FROM documents), g AS (SELECT doc_id FROM labels WHERE quality = 1)
-SELECT a.doc_id AS a, b.doc_id AS b FROM d a JOIN d b ON a.h = b.h AND a.source <> b.source AND a.doc_id < b.doc_id WHERE EXISTS (SELECT 1 FROM g WHERE g.doc_id = a.doc_id) AND NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = b.doc_id)""")
+SELECT b.doc_id, min(a.doc_id) AS match, count(*) AS links FROM d a JOIN d b ON a.h = b.h AND a.source <> b.source WHERE EXISTS (SELECT 1 FROM g WHERE g.doc_id = a.doc_id) AND NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = b.doc_id) GROUP BY 1""")
 def exact_name_cross_source(t):
+    """Rows that are not confirmed, with the least confirmed row of equal text from another source and the number of such. Copies meet per text and source, never as pairs."""
     d = t("documents").select("doc_id", "source", F.md5("text").alias("h"))
     good = t("labels").where("quality = 1").select("doc_id")
-    p = R.block_pairs(d, "doc_id", ["h"], F.col("a.source") != F.col("b.source")).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
-    return p.join(good.withColumnRenamed("doc_id", "a"), "a", "left_semi").join(good.withColumnRenamed("doc_id", "b"), "b", "left_anti")
-
-
-@query("""SELECT DISTINCT least(x.c_nationkey, y.c_nationkey) AS a, greatest(x.c_nationkey, y.c_nationkey) AS b FROM orders o JOIN customer x ON x.c_custkey = o.o_custkey JOIN customer y ON y.c_custkey = (o.o_custkey * 3 + 1) % 150 WHERE x.c_nationkey <> y.c_nationkey""")
-def pair_through_mapping(t):
-    return _mapped_pairs(t, t("orders").select(F.col("o_custkey").alias("x"), ((F.col("o_custkey") * 3 + 1) % 150).alias("y")))
+    per = d.join(good, "doc_id", "left_semi").groupBy("h", "source").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    held = per.groupBy("h").agg(F.collect_list(F.struct("source", "least", "n")).alias("s"))
+    m = d.join(good, "doc_id", "left_anti").join(held, "h").withColumn("o", F.filter("s", lambda x: x["source"] != F.col("source")))
+    return m.where(F.size("o") > 0).select("doc_id", F.array_min("o.least").alias("match"), F.aggregate("o.n", F.lit(0).cast("long"), lambda a, x: a + x).alias("links"))
 
 
 @query("""WITH k AS (SELECT max(c_custkey) + 1 AS n FROM customer) SELECT DISTINCT least(x.c_nationkey, y.c_nationkey) AS a, greatest(x.c_nationkey, y.c_nationkey) AS b FROM k, orders o JOIN customer x ON x.c_custkey = o.o_custkey JOIN customer y ON y.c_custkey = (o.o_custkey * 3 + 1) % n WHERE x.c_nationkey <> y.c_nationkey""")
-def pair_through_mapping_whole(t):
+def pair_through_mapping(t):
     """The mapping reaches every customer's key."""
     n = F.broadcast(t("customer").agg((F.max("c_custkey") + 1).alias("n")))  # one row
     return _mapped_pairs(t, t("orders").join(n).select(F.col("o_custkey").alias("x"), ((F.col("o_custkey") * 3 + 1) % F.col("n")).alias("y")))
@@ -82,11 +79,6 @@ def fuse_with_provenance(t):
     return t("orders").select("o_orderkey", F.coalesce(a, "o_orderpriority").alias("value"), F.when(a.isNotNull(), "first").otherwise("second").alias("origin"))
 
 
-@query("""SELECT quality, CAST(n_chars > 400 AS INTEGER) AS again, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1, 2""")
-def recomputed_flag(t):
-    return t("labels").join(t("documents"), "doc_id").groupBy("quality", (F.col("n_chars") > 400).cast("int").alias("again")).agg(F.count("*").alias("n"))
-
-
 @query("""WITH s AS (SELECT l_orderkey, list(DISTINCT l_returnflag) AS f FROM lineitem GROUP BY 1) SELECT l_orderkey, len(list_intersect(f, ['R', 'A'])) > 0 AS overlaps, len(list_intersect(f, ['N', 'R'])) = len(f) AS contained FROM s""")
 def array_filters(t):
     s = t("lineitem").groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("f"))
@@ -141,22 +133,20 @@ def mention_split(t):
     return t("part").select(F.explode(m).alias("mention")).groupBy("mention").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT p_brand, max_by(p_name, length(p_name) * 100000 + p_partkey) AS name FROM part WHERE p_name LIKE '% %' GROUP BY 1""")
-def canonical_name_pick(t):
-    return t("part").where(F.col("p_name").contains(" ")).groupBy("p_brand").agg(F.max_by("p_name", F.struct(F.length("p_name"), "p_partkey")).alias("name"))
-
-
 @query("""WITH g AS (SELECT p_name, count(*) AS n, count(DISTINCT p_brand) AS brands, count(DISTINCT p_size) AS sizes FROM part GROUP BY 1) SELECT p_name, n, CASE WHEN n >= 3 AND sizes >= 2 AND length(p_name) < 11 THEN 'split' WHEN brands > 1 THEN 'flag' ELSE 'keep' END AS verdict FROM g""")
 def false_merge_split(t):
     g = t("part").groupBy("p_name").agg(F.count("*").alias("n"), F.count_distinct("p_brand").alias("brands"), F.count_distinct("p_size").alias("sizes"))
     return g.select("p_name", "n", F.when((F.col("n") >= 3) & (F.col("sizes") >= 2) & (F.length("p_name") < 11), "split").when(F.col("brands") > 1, "flag").otherwise("keep").alias("verdict"))
 
 
-@query("""SELECT a.c_name AS a, b.c_name AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey WHERE regexp_replace(a.c_name, '[0-9]+', '', 'g') = regexp_replace(b.c_name, '[0-9]+', '', 'g') AND a.c_name <> b.c_name""")
+@query("""WITH n AS (SELECT c_custkey, c_nationkey, c_mktsegment, regexp_replace(c_name, '[0-9]+', '', 'g') AS bare, c_name FROM customer), g AS (SELECT c_nationkey, c_mktsegment, bare, count(DISTINCT c_name) AS names, min(c_custkey) AS root FROM n GROUP BY 1, 2, 3 HAVING count(DISTINCT c_name) > 1)
+SELECT c_custkey, root, names - 1 AS links FROM n JOIN g USING (c_nationkey, c_mktsegment, bare)""")
 def code_only_difference(t):
-    bare = lambda c: F.regexp_replace(c, "[0-9]+", "")
-    p = R.block_pairs(t("customer"), "c_custkey", ["c_nationkey", "c_mktsegment"], (bare("a.c_name") == bare("b.c_name")) & (F.col("a.c_name") != F.col("b.c_name")))
-    return p.select(F.col("a.c_name").alias("a"), F.col("b.c_name").alias("b"))
+    """Rows of a block whose names differ by a code only: the least of them stands for the class, links counts the other names."""
+    n = t("customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.regexp_replace("c_name", "[0-9]+", "").alias("bare"), "c_name")
+    block = ["c_nationkey", "c_mktsegment", "bare"]
+    g = n.groupBy(*block).agg(F.count_distinct("c_name").alias("names"), F.min("c_custkey").alias("root")).where("names > 1")
+    return n.join(g, block).select("c_custkey", "root", (F.col("names") - 1).alias("links"))
 
 
 @query("""WITH g AS (SELECT md5(text) AS h, source, min(lang) AS lang FROM documents GROUP BY 1, 2) SELECT a.source AS s1, b.source AS s2, count(*) AS groups FROM g a JOIN g b ON a.h = b.h AND a.source < b.source AND a.lang = b.lang GROUP BY 1, 2""")
@@ -166,18 +156,6 @@ def match_recall_audit(t):
     return p.groupBy(F.col("a.source").alias("s1"), F.col("b.source").alias("s2")).agg(F.count("*").alias("groups"))
 
 
-@query("""SELECT l_partkey, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN min(l_returnflag) END AS proposed, count(DISTINCT l_returnflag) AS kinds FROM lineitem GROUP BY 1""")
-def gap_inventory(t):
-    k = F.count_distinct("l_returnflag")
-    return t("lineitem").groupBy("l_partkey").agg(F.when(k == 1, F.min("l_returnflag")).alias("proposed"), k.alias("kinds"))
-
-
-@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_type WHEN p_size % 2 = 0 THEN p_brand END AS style, CASE WHEN p_size % 2 = 0 THEN p_brand WHEN p_size % 3 = 0 THEN p_type END AS program FROM part""")
-def axis_merge(t):
-    text, vision = F.when(F.col("p_size") % 3 == 0, F.col("p_type")), F.when(F.col("p_size") % 2 == 0, F.col("p_brand"))
-    return t("part").select("p_partkey", F.coalesce(text, vision).alias("style"), F.coalesce(vision, text).alias("program"))
-
-
 BITS = "SELECT vec_id, label, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS b FROM embeddings"
 
 
@@ -188,12 +166,6 @@ def contiguous_band_pairs(t):
     return R.band_pairs(h, "vec_id", F.array(*(F.concat(F.lit(f"{i}:"), F.substring("b", i * 8 + 1, 8)) for i in range(8)))).where("bands >= 2")
 
 
-@query("""SELECT page_id, CASE WHEN regexp_matches(url, '/(en|de)/') THEN 'main' WHEN regexp_matches(url, '[?]page=') THEN 'listing' WHEN regexp_matches(url, '#') THEN 'anchor' ELSE 'other' END AS kind FROM pages""")
-def filename_cascade(t):
-    u = F.col("url")
-    return t("pages").select("page_id", F.when(u.rlike("/(en|de)/"), "main").when(u.rlike("[?]page="), "listing").when(u.rlike("#"), "anchor").otherwise("other").alias("kind"))
-
-
 @query("""SELECT source, string_agg(lang || ':' || doc_id, ',' ORDER BY lang) AS best FROM (SELECT source, lang, doc_id, row_number() OVER (PARTITION BY source, lang ORDER BY n_chars DESC, doc_id) AS k FROM documents) WHERE k = 1 GROUP BY 1""")
 def best_cover_per_type(t):
     one = R.first_of(t("documents").select("source", "lang", "doc_id", "n_chars"), ["source", "lang"], F.desc("n_chars"), F.col("doc_id"))
@@ -256,8 +228,8 @@ def two_judges(t):
 
 @query("""SELECT item_id, CAST(floor((row_number() OVER (ORDER BY item_id) - 1) / 8) AS BIGINT) AS batch, CASE WHEN item_id % 2 = 0 THEN 'A' ELSE 'B' END AS side FROM benchmark""")
 def blind_batches(t):
-    n = F.row_number().over(Window.orderBy("item_id"))
-    return t("benchmark").select("item_id", F.floor((n - 1) / 8).alias("batch"), F.when(F.col("item_id") % 2 == 0, "A").otherwise("B").alias("side"))
+    n = R.numbered(t("benchmark").select("item_id"), "item_id", "n")
+    return n.select("item_id", F.floor((F.col("n") - 1) / 8).alias("batch"), F.when(F.col("item_id") % 2 == 0, "A").otherwise("B").alias("side"))
 
 
 @query("""SELECT axis, agree, doc_id FROM (SELECT lang AS axis, quality = toxic AS agree, doc_id, row_number() OVER (PARTITION BY lang, quality = toxic ORDER BY sha256('adj|' || doc_id), doc_id) AS k FROM labels JOIN documents USING (doc_id)) WHERE k <= 5""")
@@ -278,13 +250,6 @@ def vocabulary_drift(t):
     return t("part").groupBy(F.col("p_type").alias("tag")).agg(F.count("*").alias("n")).withColumn("drifted", ~F.col("tag").isin("ECONOMY", "STANDARD", "PROMO"))
 
 
-@query("""WITH v AS (SELECT p_partkey, p_type, CASE p_type WHEN 'ECONOMY' THEN 'budget' WHEN 'PROMO' THEN 'offer' END AS mapped FROM part) SELECT p_partkey, coalesce(mapped, lower(p_type)) AS tag, CASE WHEN mapped IS NOT NULL THEN 'alias' ELSE 'loose' END AS reason FROM v""")
-def vocab_migrate(t):
-    p = t("part")
-    alias = F.broadcast(p.sparkSession.createDataFrame([("ECONOMY", "budget"), ("PROMO", "offer")], "p_type string, mapped string"))
-    return p.join(alias, "p_type", "left").select("p_partkey", F.coalesce("mapped", F.lower("p_type")).alias("tag"), F.when(F.col("mapped").isNotNull(), "alias").otherwise("loose").alias("reason"))
-
-
 @query("""SELECT (SELECT count(*) FROM orders) AS inputs, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS outputs, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS excluded, (SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')) AS unresolved, true AS balanced""")
 def ledger_accounting(t):
     s = F.col("o_orderstatus")
@@ -315,14 +280,8 @@ def facet_search(t):
     return t("part").where(F.array_contains(F.split("p_name", " "), "ring") & F.col("p_type").isin("ECONOMY", "PROMO")).select("p_partkey", "p_brand")
 
 
-@query("""WITH g AS (SELECT md5(text) AS gold, min(doc_id) AS want FROM documents WHERE doc_id < 100 GROUP BY 1), n AS (SELECT md5(text) AS gold, min(doc_id) AS got FROM documents WHERE doc_id <> 5 GROUP BY 1) SELECT want, got, want IS NOT DISTINCT FROM got AS ok FROM g LEFT JOIN n USING (gold)""")
-def regression_gate(t):
-    d = t("documents").select("doc_id", F.md5("text").alias("gold"))
-    return _gold_check(d.where("doc_id < 100"), d)
-
-
 @query("""WITH g AS (SELECT md5(text) AS gold, min(doc_id) AS want FROM documents GROUP BY 1), n AS (SELECT md5(text) AS gold, min(doc_id) AS got FROM documents WHERE doc_id <> 5 GROUP BY 1) SELECT want, got, want IS NOT DISTINCT FROM got AS ok FROM g LEFT JOIN n USING (gold)""")
-def regression_gate_whole(t):
+def regression_gate(t):
     d = t("documents").select("doc_id", F.md5("text").alias("gold"))
     return _gold_check(d, d)
 
@@ -333,21 +292,6 @@ def _gold_check(held, d):
     return gold.join(now, "gold", "left").select("want", "got", F.col("want").eqNullSafe(F.col("got")).alias("ok"))
 
 
-@query("""WITH f AS (SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders), b AS (SELECT o_custkey, count(*) AS n, bool_or(o_totalprice > 400000) AS anchor FROM f GROUP BY 1)
-SELECT o_orderkey, CASE WHEN NOT anchor THEN 'unanchored' WHEN n > 15 THEN 'fan_out' ELSE 'ok' END AS policy FROM f JOIN b USING (o_custkey)""")
-def anchor_policy(t):
-    f = t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    b = f.groupBy("o_custkey").agg(F.count("*").alias("n"), F.bool_or(F.col("o_totalprice") > 400000).alias("anchor"))
-    return f.join(b, "o_custkey").select("o_orderkey", F.when(~F.col("anchor"), "unanchored").when(F.col("n") > 15, "fan_out").otherwise("ok").alias("policy"))
-
-
-@query("""WITH o AS (SELECT DISTINCT 'firm' AS origin, o_custkey AS a, o_orderkey % 100 AS b FROM orders WHERE o_orderstatus = 'F' UNION SELECT 'year', o_custkey, o_orderkey % 100 FROM orders WHERE year(o_orderdate) = 1997) SELECT a, b, string_agg(origin, ',' ORDER BY origin) AS origins FROM o GROUP BY 1, 2""")
-def candidate_universe(t):
-    o = t("orders").select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 100).alias("b"), "o_orderstatus", "o_orderdate")
-    u = o.where("o_orderstatus = 'F'").select(F.lit("firm").alias("origin"), "a", "b").union(o.where("year(o_orderdate) = 1997").select(F.lit("year"), "a", "b"))
-    return u.groupBy("a", "b").agg(_text(F.col("origin")).alias("origins"))
-
-
 @query("""SELECT source, CASE WHEN count(DISTINCT lang) >= 3 THEN 'T1' WHEN count(DISTINCT lang) = 2 THEN 'T2' ELSE 'T3' END AS tier FROM documents GROUP BY 1""")
 def confidence_tier(t):
     n = F.count_distinct("lang")

@@ -14,123 +14,80 @@ from cairnwork.plans.storage import cut
 
 # DuckDB's view of the tokens that functions.text.tokens gives
 TOK = "list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: t <> '')"
-RARE = f"""tk AS (SELECT doc_id, unnest(list_distinct({TOK})) AS token FROM documents), rare AS (SELECT token FROM tk GROUP BY 1 HAVING count(*) BETWEEN 2 AND 12),
-po AS (SELECT doc_id, token FROM tk JOIN rare USING (token)), pr AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM po a JOIN po b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING count(*) >= 3)"""
 SETS = f"ts AS (SELECT doc_id, list_distinct({TOK}) AS s FROM documents)"
-SCORED = f"""{RARE}, {SETS}, sc AS (SELECT a, b, shared, len(list_intersect(x.s, y.s)) AS both_n, len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)) AS any_n FROM pr JOIN ts x ON x.doc_id = a JOIN ts y ON y.doc_id = b),
-j AS (SELECT a, b, shared, round(both_n / CAST(any_n AS DOUBLE), 6) AS score FROM sc)"""
 
 
-def _token_sets(t):
-    """doc_id and the distinct tokens' 64-bit hashes, made once: the pair joins read them three times."""
-    return cut(t("documents").select("doc_id", F.array_distinct(F.transform(X.tokens(F.col("text")), lambda x: F.xxhash64(x))).alias("s")), "tokens")
-
-
-def _pairs(t):
-    d = _token_sets(t)
-    pairs = R.token_pairs(d, "doc_id", "s", 3, 12)
-    a, b = d.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), d.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "shared", F.round(X.jaccard(F.col("sa"), F.col("sb")), 6).alias("score"))
+def _kinds(t, *facts):
+    """One document, the least, of those that agree in text and facts: copies are not expanded into pairs."""
+    d = t("documents")
+    return d.join(d.groupBy(F.md5("text"), *facts).agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "doc_id", "left_semi")
 
 
-@query(f"WITH {RARE} SELECT * FROM pr")
-def token_index_join(t):
-    return R.token_pairs(_token_sets(t), "doc_id", "s", 3, 12)
-
-
-@query(f"WITH {SCORED} SELECT a, b, score FROM j WHERE score >= 0.5")
-def jaccard_pairs(t):
-    return _pairs(t).where("score >= 0.5").select("a", "b", "score")
-
-
-@query(f"""WITH RECURSIVE {SCORED}, e AS MATERIALIZED (SELECT a AS u, b AS v FROM j WHERE score >= 0.5 UNION SELECT b, a FROM j WHERE score >= 0.5),
-c AS (SELECT DISTINCT u AS node, u AS root FROM e UNION SELECT e.v, c.root FROM c JOIN e ON c.node = e.u)
-SELECT node, min(root) AS root FROM c GROUP BY 1""")
-def near_dup_clusters(t):
-    return components(_pairs(t).where("score >= 0.5"), "a", "b")
+def _token_sets(docs):
+    """doc_id and the distinct tokens' 64-bit hashes, made once: the pair joins read them three times."""
+    return cut(docs.select("doc_id", F.array_distinct(F.transform(X.tokens(F.col("text")), lambda x: F.xxhash64(x))).alias("s")), "tokens")
 
 
 # Jaccard pairs over all tokens: no cap on a token's frequency
-WHOLE = f"""{SETS}, tk AS (SELECT doc_id, unnest(s) AS token FROM ts), bo AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM tk x JOIN tk y ON x.token = y.token AND x.doc_id < y.doc_id GROUP BY 1, 2),
+PAIRS = """tk AS (SELECT doc_id, unnest(s) AS token FROM ts), bo AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM tk x JOIN tk y ON x.token = y.token AND x.doc_id < y.doc_id GROUP BY 1, 2),
 w AS (SELECT a, b, n / CAST(len(x.s) + len(y.s) - n AS DOUBLE) AS exact FROM bo JOIN ts x ON x.doc_id = a JOIN ts y ON y.doc_id = b)"""
+WHOLE = f"{SETS}, {PAIRS}"
+
+
+def _kinds_sql(*facts):
+    """The same over one document of each text and facts."""
+    return f"ks AS (SELECT * FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY {', '.join(('md5(text)', *facts))})), {SETS.replace('FROM documents', 'FROM ks')}, {PAIRS}"
 
 
-def _whole_pairs(t, least):
-    """(sets with their roots, pairs of roots) of all documents with Jaccard of at least `least`."""
-    members = cut(R.equal_sets(_token_sets(t), "doc_id", "s"), "members")
+def _whole_pairs(docs, least):
+    """(sets with their roots, pairs of roots) of documents with Jaccard of at least `least`."""
+    members = cut(R.equal_sets(_token_sets(docs), "doc_id", "s"), "members")
     return members, cut(R.jaccard_roots(members.where("doc_id = root").select("root", "s"), least), "near")
 
 
-@query(f"WITH {WHOLE} SELECT a, b, round(exact, 6) AS score FROM w WHERE exact >= 0.5")
-def jaccard_pairs_whole(t):
-    return R.jaccard_pairs(*_whole_pairs(t, 0.5), "doc_id").select("a", "b", F.round(F.col("both") / F.col("n"), 6).alias("score"))
+@query(f"WITH {_kinds_sql()} SELECT a, b, round(exact, 6) AS score FROM w WHERE exact >= 0.5")
+def jaccard_pairs(t):
+    """Pairs of texts, each by its least document."""
+    return R.jaccard_pairs(*_whole_pairs(_kinds(t), 0.5), "doc_id").select("a", "b", F.round(F.col("both") / F.col("n"), 6).alias("score"))
 
 
 @query(f"""WITH RECURSIVE {WHOLE}, e AS MATERIALIZED (SELECT a AS u, b AS v FROM w WHERE exact >= 0.5 UNION SELECT b, a FROM w WHERE exact >= 0.5),
 c AS (SELECT DISTINCT u AS node, u AS root FROM e UNION SELECT e.v, c.root FROM c JOIN e ON c.node = e.u)
 SELECT node, min(root) AS root FROM c GROUP BY 1""")
-def near_dup_clusters_whole(t):
+def near_dup_clusters(t):
     """Equal sets hang on their root by an edge each, so their pairs are never made."""
-    members, near = _whole_pairs(t, 0.5)
+    members, near = _whole_pairs(t("documents"), 0.5)
     copies = members.where("doc_id <> root").select(F.col("root").alias("a"), F.col("doc_id").alias("b"))
     return components(near.select("a", "b").union(copies), "a", "b")
 
 
-@query(f"""WITH {SCORED}, p AS (SELECT a, b, score, x.source = y.source AS same_source, x.lang = y.lang AS same_lang, abs(x.n_chars - y.n_chars) AS gap FROM j JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b)
-SELECT a, b, CASE WHEN same_lang AND ((gap = 0 AND score >= 0.9) OR score >= 0.95) THEN 'auto' WHEN score >= 0.78 AND (same_lang OR same_source) THEN 'tiebreak' ELSE 'reject' END AS verdict FROM p""")
-def match_verdicts_pass1(t):
-    d = t("documents").select("doc_id", "source", "lang", "n_chars")
-    side = lambda x: d.select(*(F.col(c).alias(x if c == "doc_id" else f"{c}_{x}") for c in d.columns))
-    p = _pairs(t).join(side("a"), "a").join(side("b"), "b")
-    score, same = 100 * F.col("score"), F.col("lang_a") == F.col("lang_b")
-    v = E.record_verdict(score, score, same, F.col("n_chars_a") == F.col("n_chars_b"), F.col("source_a") == F.col("source_b"), F.lit(True))
-    return p.select("a", "b", v.alias("verdict"))
-
-
-@query(f"""WITH {SCORED}, p AS (SELECT a, b, score, shared, x.source = y.source AS same_source, abs(x.n_chars - y.n_chars) AS gap FROM j JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b)
-SELECT a, b, CASE WHEN same_source AND gap <= 1 AND shared >= 2 AND score >= 0.9 THEN 'auto' ELSE 'reject' END AS verdict FROM p""")
-def match_verdicts_pass2(t):
-    d = t("documents").select("doc_id", "source", "n_chars")
-    side = lambda x: d.select(*(F.col(c).alias(x if c == "doc_id" else f"{c}_{x}") for c in d.columns))
-    p = _pairs(t).join(side("a"), "a").join(side("b"), "b")
-    v = E.rescue_verdict(100 * F.col("score"), F.col("shared"), F.abs(F.col("n_chars_a") - F.col("n_chars_b")), F.col("source_a") == F.col("source_b"))
-    return p.select("a", "b", v.alias("verdict"))
-
-
 def _whole_verdict_pairs(t):
     """Pairs from 78 on, below which both passes reject, with both documents' facts."""
     d = t("documents").select("doc_id", "source", "lang", "n_chars")
-    p = R.jaccard_pairs(*_whole_pairs(t, 0.78), "doc_id")
+    p = R.jaccard_pairs(*_whole_pairs(_kinds(t, "source", "lang", "n_chars"), 0.78), "doc_id")
     p = p.select("a", "b", "both", (100 * F.round(F.col("both") / F.col("n"), 6)).alias("score"))
     return p.join(d.toDF("a", "source_a", "lang_a", "n_chars_a"), "a").join(d.toDF("b", "source_b", "lang_b", "n_chars_b"), "b")
 
 
-@query(f"""WITH {WHOLE}, p AS (SELECT a, b, round(exact, 6) AS score, x.source = y.source AS same_source, x.lang = y.lang AS same_lang, abs(x.n_chars - y.n_chars) AS gap FROM w JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact >= 0.78)
+@query(f"""WITH {_kinds_sql("source", "lang", "n_chars")}, p AS (SELECT a, b, round(exact, 6) AS score, x.source = y.source AS same_source, x.lang = y.lang AS same_lang, abs(x.n_chars - y.n_chars) AS gap FROM w JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact >= 0.78)
 SELECT a, b, CASE WHEN same_lang AND ((gap = 0 AND score >= 0.9) OR score >= 0.95) THEN 'auto' WHEN score >= 0.78 AND (same_lang OR same_source) THEN 'tiebreak' ELSE 'reject' END AS verdict FROM p""")
-def match_verdicts_pass1_whole(t):
+def match_verdicts_pass1(t):
     same = F.col("lang_a") == F.col("lang_b")
     v = E.record_verdict(F.col("score"), F.col("score"), same, F.col("n_chars_a") == F.col("n_chars_b"), F.col("source_a") == F.col("source_b"), F.lit(True))
     return _whole_verdict_pairs(t).select("a", "b", v.alias("verdict"))
 
 
-@query(f"""WITH {WHOLE}, p AS (SELECT a, b, round(exact, 6) AS score, n, x.source = y.source AS same_source, abs(x.n_chars - y.n_chars) AS gap FROM w JOIN bo USING (a, b) JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact >= 0.78)
+@query(f"""WITH {_kinds_sql("source", "lang", "n_chars")}, p AS (SELECT a, b, round(exact, 6) AS score, n, x.source = y.source AS same_source, abs(x.n_chars - y.n_chars) AS gap FROM w JOIN bo USING (a, b) JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact >= 0.78)
 SELECT a, b, CASE WHEN same_source AND gap <= 1 AND n >= 2 AND score >= 0.9 THEN 'auto' ELSE 'reject' END AS verdict FROM p""")
-def match_verdicts_pass2_whole(t):
+def match_verdicts_pass2(t):
     v = E.rescue_verdict(F.col("score"), F.col("both"), F.abs(F.col("n_chars_a") - F.col("n_chars_b")), F.col("source_a") == F.col("source_b"))
     return _whole_verdict_pairs(t).select("a", "b", v.alias("verdict"))
 
 
-@query("""WITH s AS (SELECT l_suppkey AS k, list_distinct(list(l_partkey)) AS parts FROM lineitem WHERE l_suppkey < 60 GROUP BY 1), p AS (SELECT a.k AS a, b.k AS b, len(a.parts) AS na, len(b.parts) AS nb, len(list_intersect(a.parts, b.parts)) AS shared, (a.k * 7 + b.k) % 100 AS score, abs(a.k - b.k) % 4 AS gap
-FROM s a JOIN s b ON a.k < b.k AND a.k % 10 = b.k % 10)
-SELECT a, b, CASE WHEN shared = 0 AND na >= 3 AND nb >= 3 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 AND score < 90 AND gap > 1 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 THEN 'TIEBREAKER_PASS' ELSE 'PASS' END AS gate FROM p""")
-def match_gate(t):
-    return _gates(t("lineitem").where("l_suppkey < 60"))
-
-
 @query("""WITH s AS (SELECT l_suppkey AS k, list_distinct(list(l_partkey)) AS parts FROM lineitem GROUP BY 1), p AS (SELECT a.k AS a, b.k AS b, len(a.parts) AS na, len(b.parts) AS nb, len(list_intersect(a.parts, b.parts)) AS shared, (a.k * 7 + b.k) % 100 AS score, abs(a.k - b.k) % 4 AS gap
 FROM s a JOIN s b ON a.k < b.k AND a.k % 10 = b.k % 10)
 SELECT a, b, CASE WHEN shared = 0 AND na >= 3 AND nb >= 3 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 AND score < 90 AND gap > 1 THEN 'BLOCK' WHEN shared = 0 AND na >= 2 AND nb >= 2 THEN 'TIEBREAKER_PASS' ELSE 'PASS' END AS gate FROM p""")
-def match_gate_whole(t):
+def match_gate(t):
     return _gates(t("lineitem"))
 
 
@@ -143,7 +100,7 @@ def _gates(items):
 
 
 @query("""WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders), p AS (SELECT a.o_orderkey AS a, b.o_orderkey AS b, a.o_orderstatus = b.o_orderstatus AS firm, a.o_orderpriority = b.o_orderpriority AS city, abs(a.y - b.y) AS gap, (a.o_orderkey + b.o_orderkey) % 101 AS score FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey)
-SELECT a, b, CASE WHEN gap >= 5 THEN 'DIFFERENT' WHEN (firm AND gap = 0 AND city AND score >= 80) OR (firm AND gap = 0 AND city AND score >= 70) OR (firm AND score >= 95) OR (firm AND city AND gap <= 1 AND score >= 75) THEN 'SAME' ELSE 'UNDECIDED' END AS verdict,
+SELECT a, b, CASE WHEN gap >= 5 THEN 'DIFFERENT' WHEN (firm AND gap = 0 AND city AND score >= 80) OR (firm AND gap = 0 AND city AND score >= 70) OR (firm AND score >= 95) OR (firm AND city AND gap <= 1 AND score >= 75) THEN 'SAME' WHEN (firm AND NOT city AND score < 80) OR (NOT firm AND NOT city AND score < 85) THEN 'DIFFERENT' ELSE 'UNDECIDED' END AS verdict,
 round(0.4 * score / 100 + 0.25 * CAST(firm AS INTEGER) + 0.1 + 0.1 * CAST(city AS INTEGER) + 0.15 * CAST(gap = 0 AS INTEGER), 6) AS dup_score FROM p""")
 def tiebreak_and_duplicate_score(t):
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("y"))
@@ -153,19 +110,8 @@ def tiebreak_and_duplicate_score(t):
     return p.select(F.col("a.o_orderkey").alias("a"), F.col("b.o_orderkey").alias("b"), E.tiebreak(firm, yes, city, city, gap, score).alias("verdict"), F.round(E.duplicate_score(score / 100, firm, yes, city, gap == 0), 6).alias("dup_score"))
 
 
-@query("""WITH RECURSIVE e AS MATERIALIZED (SELECT o_orderkey AS u, o_orderkey + (o_custkey % 3) + 1 AS v FROM orders WHERE o_custkey % 4 = 0), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
-c AS (SELECT u AS node, u AS root FROM b UNION SELECT b.v, c.root FROM c JOIN b ON c.node = b.u), r AS (SELECT node, min(root) AS root FROM c GROUP BY 1), s AS (SELECT root, count(*) AS size FROM r GROUP BY 1),
-h AS (SELECT DISTINCT x.root FROM (SELECT o_orderkey AS u, o_orderkey + 1 AS v FROM orders WHERE o_custkey % 5 = 0) bad JOIN r x ON x.node = bad.u JOIN r y ON y.node = bad.v WHERE x.root = y.root)
-SELECT node, root, size, size <= 4 AND root NOT IN (SELECT root FROM h) AS safe FROM r JOIN s USING (root)""")
-def component_safety(t):
-    o = t("orders")
-    e = o.where("o_custkey % 4 = 0").select(F.col("o_orderkey").alias("u"), (F.col("o_orderkey") + F.col("o_custkey") % 3 + 1).alias("v"))
-    bad = o.where("o_custkey % 5 = 0").select(F.col("o_orderkey").alias("u"), (F.col("o_orderkey") + 1).alias("v"))
-    return E.safe_components(e, "u", "v", bad)
-
-
 @query()
-def component_safety_whole(t):
+def component_safety(t):
     """Edges and bad pairs of all orders."""
     o = t("orders").select(F.col("o_orderkey").alias("u"), "o_custkey")
     e = o.select("u", (F.col("u") + F.col("o_custkey") % 3 + 1).alias("v"))
@@ -249,18 +195,12 @@ def _hashes(t, *columns):
     return _bits(t).select(*columns, "vec_id", "label", F.conv("bits", 2, -10).cast("long").alias("h"))
 
 
-def _far(a, b):
-    limb = lambda c, i: F.conv(F.substring(c, i, 32), 2, 10).cast("long")
-    return sum((F.bit_count(limb(a, i).bitwiseXOR(limb(b, i))) for i in (1, 33)), F.lit(0))
-
-
 @query(f"""WITH {LIMBS}, p AS (SELECT x.vec_id AS a, y.vec_id AS b, CAST(len(list_filter(list_zip(x.b, y.b), lambda z: z[1] <> z[2])) AS INTEGER) AS d FROM h x JOIN h y ON x.vec_id < y.vec_id)
 SELECT a, b, d FROM p WHERE d <= 18""")
 def hamming_pairs(t):
-    h = _bits(t)
-    pairs = R.band_pairs(h, "vec_id", V.interleaved_bands(F.col("bits"), 64, 19))
-    a, b = h.select(F.col("vec_id").alias("a"), F.col("bits").alias("x")), h.select(F.col("vec_id").alias("b"), F.col("bits").alias("y"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", _far(F.col("x"), F.col("y")).alias("d")).where("d <= 18")
+    """Sign hashes up to 18 of 64 bits apart. At such a radius a band has three or four bits and most pairs meet in one; hash_node_pairs has the
+    selective form, 8 of 256 bits."""
+    return R.banded_pairs(_hashes(t), "vec_id", ["h"], 19, 18)
 
 
 @query(f"""WITH {LIMBS}, g AS (SELECT list_aggregate(b, 'string_agg', '') AS bits, count(*) AS n, min(vec_id) AS node FROM h GROUP BY 1) SELECT node, n FROM g""")
@@ -333,14 +273,7 @@ def _name_scores(t, pairs):
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", X.name_scores("na", "nb").alias("s")).select("a", "b", "s.strict", "s.loose")
 
 
-@query(f"""WITH {SCORED} SELECT count(*) AS n FROM j WHERE score >= 0.3""")
-def name_similarity_scores(t):
-    """Only blocked pairs are scored; the scores' bounds hold for all of them, so the count equals the count of pairs."""
-    p = _name_scores(t, _pairs(t).where("score >= 0.3"))
-    return p.where("strict BETWEEN 0 AND 100 AND loose >= strict").agg(F.count("*").alias("n"))
-
-
 @query()
-def name_similarity_whole(t):
+def name_similarity_scores(t):
     """Strict and loose score of the whole texts of every pair with a Jaccard of 0.3 or more."""
-    return _name_scores(t, R.jaccard_pairs(*_whole_pairs(t, 0.3), "doc_id"))
+    return _name_scores(t, R.jaccard_pairs(*_whole_pairs(_kinds(t), 0.3), "doc_id"))

@@ -9,26 +9,19 @@ from cairnwork.functions import values as V
 from cairnwork.operators import relational as R
 from cairnwork.operators import resolution as E
 from cairnwork.plans.registry import query
-from cairnwork.plans.resolution_queries import SCORED, TOK, WHOLE, _pairs, _whole_pairs
+from cairnwork.plans.resolution_queries import TOK, _kinds, _kinds_sql, _whole_pairs
 from cairnwork.plans.storage import cut
 
 
-@query(f"""WITH {SCORED}, p AS (SELECT a, b, score FROM j JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE score > 0.3 AND (x.source = y.source OR x.lang = y.lang)) SELECT a, b, CASE WHEN score >= 0.92 THEN 'confirmed' WHEN score >= 0.6 THEN 'review' ELSE 'reject' END AS verdict FROM p""")
-def two_pass_dedup(t):
-    d = t("documents").select("doc_id", "source", "lang")
-    p = _pairs(t).where("score > 0.3").join(d.toDF("a", "sa", "la"), "a").join(d.toDF("b", "sb", "lb"), "b").where("sa = sb OR la = lb")
-    return p.select("a", "b", F.when(F.col("score") >= 0.92, "confirmed").when(F.col("score") >= 0.6, "review").otherwise("reject").alias("verdict"))
-
-
-@query(f"""WITH {WHOLE}, p AS (SELECT a, b FROM w JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact > 0.3 AND (x.source = y.source OR x.lang = y.lang)),
+@query(f"""WITH {_kinds_sql("source", "lang")}, p AS (SELECT a, b FROM w JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE exact > 0.3 AND (x.source = y.source OR x.lang = y.lang)),
 tc AS (SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest({TOK}) AS token FROM documents) GROUP BY 1, 2), sq AS (SELECT doc_id, CAST(sum(n * n) AS DOUBLE) AS q FROM tc GROUP BY 1),
 dot AS (SELECT a, b, CAST(sum(x.n * y.n) AS DOUBLE) AS d FROM p JOIN tc x ON x.doc_id = a JOIN tc y ON y.doc_id = b AND y.token = x.token GROUP BY 1, 2),
 c AS (SELECT a, b, round(d / sqrt(x.q * y.q), 6) AS cosine FROM dot JOIN sq x ON x.doc_id = a JOIN sq y ON y.doc_id = b)
 SELECT a, b, cosine, CASE WHEN cosine >= 0.92 THEN 'confirmed' WHEN cosine >= 0.85 THEN 'review' ELSE 'reject' END AS verdict FROM c""")
-def two_pass_dedup_whole(t):
+def two_pass_dedup(t):
     """First pass: Jaccard over 0.3, over all tokens, and the same source or language. Second pass: cosine of the whole texts' term counts."""
     d = t("documents").select("doc_id", "source", "lang")
-    p = R.jaccard_pairs(*_whole_pairs(t, 0.3), "doc_id").where("both * 10 > n * 3").join(d.toDF("a", "sa", "la"), "a").join(d.toDF("b", "sb", "lb"), "b").where("sa = sb OR la = lb")
+    p = R.jaccard_pairs(*_whole_pairs(_kinds(t, "source", "lang"), 0.3), "doc_id").where("both * 10 > n * 3").join(d.toDF("a", "sa", "la"), "a").join(d.toDF("b", "sb", "lb"), "b").where("sa = sb OR la = lb")
     each = t("documents").select("doc_id", F.explode(F.transform(X.tokens(F.col("text")), lambda x: F.xxhash64(x))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
     terms = each.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term", "n"))).alias("c"))
     terms = cut(terms.select("doc_id", F.col("c.term").alias("t"), F.col("c.n").alias("n")), "terms")
@@ -110,7 +103,7 @@ def coverage_sample(t):
 @query()
 def greedy_no_reuse(t):
     """Ten pairs in hash order, no endpoint twice, or as many as there are."""
-    return _picked(_pairs(t), 10)
+    return _picked(R.jaccard_pairs(*_whole_pairs(_kinds(t), 0.5), "doc_id"), 10)
 
 
 def _picked(pairs, most, batch=200):
@@ -157,11 +150,6 @@ def cover_avoidance(t):
     return m.join(g, "h").select("doc_id", F.when(F.col("doc_id") == F.col("best"), "keep").otherwise("swap").alias("fate"), "sources")
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size >= 40 THEN 'high' WHEN p_size >= 20 AND p_type <> 'PROMO' THEN 'medium' WHEN p_retailprice > 950 THEN 'low' ELSE 'none' END AS confidence FROM part""")
-def confidence_cascade(t):
-    return t("part").select("p_partkey", F.when(F.col("p_size") >= 40, "high").when((F.col("p_size") >= 20) & (F.col("p_type") != "PROMO"), "medium").when(F.col("p_retailprice") > 950, "low").otherwise("none").alias("confidence"))
-
-
 @query("""SELECT p_partkey, string_agg(w, ' ' ORDER BY k) AS kept FROM (SELECT p_partkey, w, row_number() OVER (PARTITION BY p_partkey, lower(w) ORDER BY k) AS n, k FROM (SELECT p_partkey, unnest(string_split(p_name || ' ' || p_name, ' ')) AS w, generate_subscripts(string_split(p_name || ' ' || p_name, ' '), 1) AS k FROM part)) WHERE n = 1 GROUP BY 1""")
 def ordered_distinct(t):
     w = F.split("p_name", " ")
