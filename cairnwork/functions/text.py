@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from difflib import SequenceMatcher
@@ -142,6 +143,33 @@ def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def json_leaves(s: pd.Series) -> pd.Series:
+    """path=value of every leaf of a JSON text, in order; null for null, an empty array for what is no JSON. Depth has no bound in Spark's JSON functions."""
+
+    def walk(value: object, path: str, out: list[str]) -> None:
+        if isinstance(value, dict):
+            for k, v in value.items():
+                walk(v, f"{path}.{k}" if path else k, out)
+        elif isinstance(value, list):
+            for i, v in enumerate(value):
+                walk(v, f"{path}[{i}]", out)
+        else:
+            out.append(f"{path}={value if isinstance(value, str) else json.dumps(value)}")
+
+    def one(x: str | None) -> list[str] | None:
+        if x is None:
+            return None
+        out: list[str] = []
+        try:
+            walk(json.loads(x), "", out)
+        except (ValueError, RecursionError):
+            return []
+        return out
+
+    return s.map(one)
+
+
 def clean_controls(c: Column) -> Column:
     """Control characters out, runs of blanks to one."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]", ""), "[ \\t]+", " "))

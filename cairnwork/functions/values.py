@@ -160,6 +160,11 @@ def array_of(c: Column) -> Column:
     return F.coalesce(parsed, F.when(blank, F.array().cast("array<string>")).otherwise(F.array(c)))
 
 
+def list_length(c: Column) -> Column:
+    """Length of a JSON array; 0 for whatever else, null and broken texts among it."""
+    return F.coalesce(F.when(F.trim(c).startswith("["), F.json_array_length(c)), F.lit(0))
+
+
 def ordered_union(a: Column, b: Column) -> Column:
     """a, then what b adds, first seen first; null counts as empty."""
     empty = F.array().cast("array<string>")

@@ -12,9 +12,11 @@ KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; without one (tests on one machine), a temporary folder."""
+    """The shared folder that the session names. Without one a session on this machine alone gets a temporary folder; a cluster's is an error."""
     named = spark.conf.get(KEY, None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{KEY} must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="cairnwork-")
         spark.sparkContext.setCheckpointDir(named)
         spark.conf.set(KEY, named)
@@ -39,15 +41,21 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is there is removed when the application ends."""
+    path = f"{shared_dir(spark)}/cairnwork/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again, so that a lost executor costs one read, not the whole plan.
 
     The table is removed when the application ends. Null-typed columns are not supported.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cairnwork/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

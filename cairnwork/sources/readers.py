@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,32 @@ def checked_files(spark: SparkSession, path: str, expected: dict[str, str]) -> D
     return want.join(got, "name", "left").select("name", "sha256", F.coalesce(F.col("sha256") == F.col("want"), F.lit(False)).alias("ok"))
 
 
+def csv_rows(spark: SparkSession, path: str, schema) -> DataFrame:
+    """CSV as sinks.bulk_csv writes it: a header, and an empty field for null."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(schema).csv(path)
+
+
+def gzip_snapshots(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
+    """(name, body, sha256, ok) of gzip files against the hashes (want) of what they hold; a file that cannot be unpacked has a null body and is not ok.
+
+    A snapshot is one row, so it must fit a task, as a web page does.
+    """
+
+    @F.pandas_udf("binary")
+    def unpacked(s: pd.Series) -> pd.Series:
+        def one(x: bytes) -> bytes | None:
+            try:
+                return gzip.decompress(x)
+            except (OSError, EOFError, zlib.error):
+                return None
+
+        return s.map(one)
+
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), unpacked("content").alias("body"))
+    got = manifest.join(files, "name", "left").withColumn("sha256", F.sha2("body", 256))
+    return got.select("name", "body", "sha256", F.coalesce(F.col("sha256") == F.col("want"), F.lit(False)).alias("ok"))
+
+
 def sitemap_urls(spark: SparkSession, path: str) -> DataFrame:
     """(url, lastmod) of sitemap XML."""
     each = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<(?:url|sitemap)>(.*?)</(?:url|sitemap)>"), 1)).alias("x"))
@@ -71,7 +100,19 @@ def page_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"\s+", " "))
 
 
-def embedded_json(html: Column, name: str) -> Column:
-    """The JSON object that a script assigns to a name or holds under an id; the longest candidate."""
+def embedded_json(html: Column, name: str, wanted: list[str] | None = None) -> Column:
+    """The JSON object that a script assigns to a name or holds under an id: of several the one with most of the wanted keys, then the longest. Null without any."""
     found = F.regexp_extract_all(html, F.lit(rf'(?s)(?:{name}\s*=\s*|id="{name}"[^>]*>)(\{{.*?\}})\s*(?:;|</script>)'), 1)
-    return F.get(F.array_sort(found, lambda a, b: F.length(b) - F.length(a)), F.lit(0))
+    keys = lambda j: sum((F.coalesce(F.get_json_object(j, f"$.{k}").isNotNull().cast("int"), F.lit(0)) for k in wanted or []), F.lit(0))
+    scored = F.transform(found, lambda j: F.struct((-keys(j)).alias("k"), (-F.length(j)).alias("n"), j.alias("j")))
+    return F.get(F.array_sort(scored), F.lit(0))["j"]
+
+
+def page_record(html: Column) -> Column:
+    """struct(title, lang, heading, paragraphs, items, links, has_article) of a page."""
+    count = lambda p: F.regexp_count(html, F.lit(p)).cast("long")
+    part = lambda tag: F.regexp_extract(html, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1)
+    return F.struct(
+        page_title(html).alias("title"), page_language(html).alias("lang"), part("h1").alias("heading"), count("<p[^a-z]").alias("paragraphs"), count("<li>").alias("items"),
+        F.size(page_links(html)).alias("links"), (part("article") != "").alias("has_article"),
+    )

@@ -29,9 +29,15 @@ def merge_keep(target: DataFrame, source: DataFrame, key: str, kept: list[str])
     return target.join(s, key, "full").select(key, *(pick(c).alias(c) for c in fields))
 
 
-def replace_children(children: DataFrame, new: DataFrame, parent: str) -> DataFrame:
-    """All children of the parents in `new` give way to the new ones."""
-    return children.join(new.select(parent).distinct(), parent, "left_anti").unionByName(new)
+def replace_children(children: DataFrame, new: DataFrame, parent: str, parents: DataFrame | None = None) -> DataFrame:
+    """All children of the parents in `new` give way to the new ones, and those of `parents`, of which `new` may have none."""
+    gone = new.select(parent) if parents is None else new.select(parent).union(parents.select(parent))
+    return children.join(gone.distinct(), parent, "left_anti").unionByName(new)
+
+
+def delete_then_upsert(target: DataFrame, removed: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
+    """Removed keys go, then rows of source replace those of equal key; a key that is both comes back."""
+    return upsert(target.join(removed.select(*key), key, "left_anti"), source, key)
 
 
 def sync_plan(current: DataFrame, wanted: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -99,3 +105,45 @@ def resumable(df: DataFrame, path: str, name: str, inputs_hash: str) -> DataFram
     if not fs.exists(mark):
         df.write.mode("overwrite").parquet(at)
     return spark.read.schema(df.schema).parquet(at)
+
+
+def append_unseen(df: DataFrame, path: str, schema: str, key: str) -> None:
+    """Append rows as JSON lines whose key is not there yet. What a failed run left half written is not read: its files appear when its job commits."""
+    spark = df.sparkSession
+    at, fs = _fs(spark, path)
+    if fs.exists(at):
+        df = df.join(spark.read.schema(schema).json(path).select(key), key, "left_anti")
+    df.write.mode("append").json(path)
+
+
+def bulk_csv(df: DataFrame, path: str) -> None:
+    """CSV for a bulk loader: a header, quotes doubled, an empty field for null."""
+    df.write.option("header", True).option("escape", '"').csv(path)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, such as a manifest, from the driver; an existing one is an error."""
+    at, fs = _fs(spark, path)
+    out = fs.create(at, False)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def seal(df: DataFrame, path: str) -> str:
+    """Write a table to a path that can be written once, with its hash beside it; the hash."""
+    spark = df.sparkSession
+    publish(df, f"{path}/data")
+    row = table_hash(spark.read.parquet(f"{path}/data")).first()
+    write_bytes(spark, f"{path}/SHA256", f"{row['rows']} {row['hash']}".encode())
+    return f"{row['rows']} {row['hash']}"
+
+
+def sealed(spark: SparkSession, path: str) -> str:
+    """The hash of a sealed table as it is now; an error if it is not the one that was written with it."""
+    row = table_hash(spark.read.parquet(f"{path}/data")).first()
+    now, then = f"{row['rows']} {row['hash']}", spark.read.text(f"{path}/SHA256").first()["value"]
+    if now != then:
+        raise ValueError(f"{path} has changed")
+    return now

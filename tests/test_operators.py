@@ -141,3 +141,32 @@ def test_intervals():
     assert stats.clopper_pearson(8, 10) == (pytest.approx(0.4439, abs=1e-4), pytest.approx(0.9748, abs=1e-4))
     mean, low, high = stats.beta_accuracy([(90, 100, 1.0)])
     assert low < mean < high and mean == pytest.approx(90.5 / 101, abs=0.01)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from cairnwork.__main__ import main
+
+    sf = "/root/testdata/sf0.001"
+    assert main(["list", "tag_"]) == 0 and "tag_stats" in capsys.readouterr().out
+    assert main(["sql", "no_such"]) == 2 and main(["sql", "tag_stats"]) == 0
+    assert main(["run", "null_census", sf, "--out", f"{tmp_path}/out"]) == 0 and spark.read.parquet(f"{tmp_path}/out").count() > 0
+    assert main(["count", sf, "null_census"]) == 0 and main(["checks", sf]) in (0, 1)
+
+
+def test_sealed_table_that_changes_is_found(spark, tmp_path):
+    at = f"file://{tmp_path}/s"
+    first = sinks.seal(spark.range(5), at)
+    assert sinks.sealed(spark, at) == first
+    spark.range(6).write.mode("overwrite").parquet(f"{at}/data")
+    with pytest.raises(ValueError):
+        sinks.sealed(spark, at)
+
+
+def test_no_shared_folder_is_an_error_on_a_cluster():
+    from types import SimpleNamespace
+
+    from cairnwork.plans import storage
+
+    remote = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(remote)
