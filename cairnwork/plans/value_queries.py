@@ -16,14 +16,14 @@ from cairnwork.streaming import queues
 
 
 @query("""WITH v AS (SELECT vec_id, list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM v)
-SELECT vec_id, round(e[1] / list_sum(e), 6) AS p1, round(e[4] / list_sum(e), 6) AS p4, '[' || array_to_string(list_transform(v, lambda x: printf('%.6f', x)), ',') || ']' AS shown, round(list_sum(list_transform(v, lambda x: CAST(printf('%.6f', x) AS DOUBLE))), 5) AS total FROM e""")
+SELECT vec_id, round(e[1] / list_sum(e), 6) AS p1, round(e[4] / list_sum(e), 6) AS p4, '[' || array_to_string(list_transform(v, lambda x: printf('%.6f', x)), ',') || ']' AS shown, round(list_sum(list_transform(v, lambda x: CAST(printf('%.6f', x) AS DOUBLE))), 6) AS total FROM e""")
 def vector_values(t):
     """Softmax of a vector, its text form, and the sum of what is read back from the text."""
     v = F.slice("embedding", 1, 4).cast("array<double>")
     shown = V.vector_text(v)
     p = V.softmax(v)
     total = F.aggregate(V.vector_parse(shown), F.lit(0.0), lambda a, x: a + x)
-    return t("embeddings").select("vec_id", F.round(F.get(p, F.lit(0)), 6).alias("p1"), F.round(F.get(p, F.lit(3)), 6).alias("p4"), shown.alias("shown"), F.round(total, 5).alias("total"))
+    return t("embeddings").select("vec_id", F.round(F.get(p, F.lit(0)), 6).alias("p1"), F.round(F.get(p, F.lit(3)), 6).alias("p4"), shown.alias("shown"), F.round(total, 6).alias("total"))
 
 
 @query("""SELECT o_orderkey, array_to_string(CASE WHEN 1890 + o_orderkey % 150 = year(o_orderdate) THEN [CAST(CAST(year(o_orderdate) AS INTEGER) AS VARCHAR)] ELSE [CAST(CAST(year(o_orderdate) AS INTEGER) AS VARCHAR), CAST(1890 + o_orderkey % 150 AS VARCHAR)] END, ',') AS years FROM orders""")
