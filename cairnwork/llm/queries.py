@@ -50,7 +50,7 @@ def op6_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    return topk.top_k(rows, rows.where("vec_id % 20 = 0"))
+    return topk.top_k(rows, F.col("vec_id") % 20 == 0)
 
 
 def op8_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,26 +84,49 @@ def test_mix_in_many_blocks(spark):
 
 
 def brute(vectors, k):
-    ok = {i: np.floor(64 * np.array(v, float)) for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    ok = [(i, tuple(np.floor(64 * np.array(v, float)))) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in ok:
+    for n, (q, x) in enumerate(ok):
         if q % 20 == 0:
-            best = sorted((-int(ok[q] @ ok[c]), c) for c in ok if c != q)[:k]
-            out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+            best = sorted((-int(np.dot(x, y)), c) for m, (c, y) in enumerate(ok) if m != n and len(x) == len(y))[:k]
+            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
     return sorted(out)
 
 
+def small_shards(monkeypatch):
+    for name, value in {"SHARD_ROWS": 64, "QUERY_ROWS": 4, "LEAF_ROWS": 8, "PAGE_BOXES": 2}.items():
+        monkeypatch.setattr(topk, name, value)
+
+
 def test_topk_against_brute_force(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(topk, "SHARD_ROWS", 64)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    small_shards(monkeypatch)
     r = np.random.default_rng(5)
     vectors = [(i, [float(np.float32(x)) for x in r.normal(0, 0.1 if i % 7 else 2, 8).round(1)]) for i in range(300)]  # rounded: ties
-    vectors += [(320, None), (340, [None] * 8), (360, [float("nan")] * 8), (380, [float("inf")] + [0.0] * 7), (400, [0.0] * 8)]
-    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    vectors += [(320, None), (340, [None] * 8), (360, [float("nan")] * 8), (380, [float("inf")] + [0.0] * 7), (400, [0.0] * 8), (None, [1.0] * 8), (420, [])]
+    vectors += [(20, vectors[20][1]), (20, [1.0] * 8), (21, vectors[21][1]), (500, [0.5, 1.0]), (501, [1.0, 1.0])]  # repeated ids and rows, another length
+    vectors += [(1000 + i, [0.3] * 8) for i in range(200)]  # equal vectors, many more than a shard's rows
+    spark.createDataFrame([(*v, "x", 1) for v in vectors], "vec_id long, embedding array<float>, shard string, row int").write.parquet(f"{tmp_path}/embeddings.parquet")
     out = queries.op7_kd_topk(spark, str(tmp_path)).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == brute(vectors, 20)
 
 
+def test_boxes_prune_shards(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    small_shards(monkeypatch)
+    r = np.random.default_rng(1)
+    centre = np.array([[2.0 if i >> j & 1 else -2.0 for j in range(4)] for i in range(16)])  # medians part these
+    vectors = [(i, [float(np.float32(x)) for x in centre[i // 7 % 16] + r.normal(0, 0.02, 4)]) for i in range(1600)]
+    sent = []
+    plain = topk._searched
+    monkeypatch.setattr(topk, "_searched", lambda shards, asks, k, tasks: (sent.append((asks, shards)), plain(shards, asks, k, tasks))[1])
+    d = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    out = topk.top_k(d, F.col("vec_id") % 20 == 0, k=5).collect()
+    assert sorted(map(tuple, out)) == brute(vectors, 5)
+    queries_sent = sum(len(x.q_ids) // 8 for x in sent[1][0].select("q_ids").collect())
+    assert sent[0][1].count() > 16 and queries_sent < 80 * (sent[0][1].count() - 1) / 3  # far fewer than every query to every other shard
+
+
 def test_topk_few_and_none(spark, tmp_path):
     spark.createDataFrame([(0, [1.0, 2.0]), (20, [0.5, 0.0])], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert sorted(map(tuple, queries.op7_kd_topk(spark, str(tmp_path)).collect())) == [(0, 1, 20, 2048), (20, 1, 0, 2048)]
