@@ -2,9 +2,13 @@
 
 Distinct fingerprints lie in cells by the population counts of three parts of their bits; a cell is cut into
 tiles of bounded size. Two fingerprints within the radius have cells whose counts differ by the radius
-at most in all (each differing bit moves one count by one), so only such tile pairs are compared, with
-exclusive-or and bit counts over whole tiles. A tile pair returns a spanning forest of its links, not
-all of them, so a large group of near copies never makes more edges than its tiles have members.
+at most in all (each differing bit moves one count by one), so all other tile pairs are skipped. The rest are compared with
+exclusive-or and bit counts over whole tiles.
+
+Tiles meet in a task that holds a group of one cell's tiles, while the tiles of the cells around it stream past: a tile is sent
+once to each group around it, not to each tile. The visitors of a group are dealt into lots, each with its own copy of
+the group, so no task grows with the data. A task returns a spanning forest of its links, not all of them,
+so a large group of near copies never makes more edges than it has members.
 """
 
 from __future__ import annotations
@@ -27,6 +31,11 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 TILE_ROWS = 2048
+#: Fingerprints that a task holds, and that visit it, about.
+GROUP_ROWS = 1 << 17
+LOT_ROWS = 1 << 19
+#: Entries of a task's union-find; beyond them it starts anew, which only repeats edges.
+FOREST = 1 << 20
 #: Bits of the three parts.
 PARTS = ((0, 21), (21, 42), (42, 64))
 
@@ -62,59 +71,87 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return bounded_batches(docs).mapInArrow(made, T.StructType([*docs.select(*kept).schema.fields, T.StructField("__fp", T.LongType())]))
 
 
-def forest(a: np.ndarray, b: np.ndarray, radius: int = RADIUS, chunk: int = 1 << 20) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links between the fingerprints a and b."""
-    parent: dict[int, int] = {}
+class Forest:
+    """Spanning edges of links that arrive in pieces."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
 
-    def root(x: int) -> int:
+    def root(self, x: int) -> int:
+        parent = self.parent
         while (up := parent.get(x, x)) != x:
             parent[x] = x = parent.get(up, up)
         return x
 
-    edges = []
-    step = max(1, chunk // max(1, len(b)))
-    for at in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius)
-        for x, y in zip(a[at + i].tolist(), b[j].tolist()):
-            if x != y and (p := root(x)) != (q := root(y)):
-                parent[max(p, q)] = min(p, q)
-                edges.append((x, y))
-    return edges
+    def add(self, a: np.ndarray, b: np.ndarray, radius: int = RADIUS, chunk: int = 1 << 20) -> list[tuple[int, int]]:
+        """The links between the fingerprints a and b that join what was not joined."""
+        if len(self.parent) > FOREST:
+            self.parent = {}
+        edges = []
+        step = max(1, chunk // max(1, len(b)))
+        for at in range(0, len(a), step):
+            i, j = np.nonzero(np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius)
+            for x, y in zip(a[at + i].tolist(), b[j].tolist()):
+                if x != y and (p := self.root(x)) != (q := self.root(y)):
+                    self.parent[max(p, q)] = min(p, q)
+                    edges.append((x, y))
+        return edges
+
+
+CELL = [f"c{i}" for i in range(len(PARTS))]
+MET = [*CELL, "group", "lot"]
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by MET, the held tiles (kind 0) first. The held ones are compared with each other in the first lot only."""
+    met, held, forest = None, [], Forest()
     for batch in batches:
         edges = []
-        for r in range(batch.num_rows):
-            a, b = (np.asarray(batch[c][r].values.to_numpy()).view(np.uint64) for c in ("fps", "others"))
-            edges += forest(a, b)
+        keys = list(zip(*(batch[c].to_pylist() for c in MET)))
+        kinds = batch["kind"].to_pylist()
+        for r, key in enumerate(keys):
+            if key != met:
+                met, held, forest = key, [], Forest()
+            tile = np.asarray(batch["fps"][r].values.to_numpy()).view(np.uint64)
+            if kinds[r] == 0:
+                held.append(tile)
+            if kinds[r] == 1 or key[-1] == 0:
+                for own in held:
+                    edges += forest.add(tile, own)
         ends = np.array(edges, np.uint64).reshape(-1, 2).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(ends[:, 0])), pa.array(np.ascontiguousarray(ends[:, 1]))], names=["a", "b"])
 
 
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): edges that connect all fingerprints of fps (distinct, column fp) within the radius."""
-    counts = [F.bit_count(F.col("fp").bitwiseAND(sum(1 << k for k in range(lo, hi)) - (1 << 64 if hi == 64 else 0))).alias(f"c{i}") for i, (lo, hi) in enumerate(PARTS)]
-    cells = [f"c{i}" for i in range(len(PARTS))]
+    counts = [F.bit_count(F.col("fp").bitwiseAND(sum(1 << k for k in range(lo, hi)) - (1 << 64 if hi == 64 else 0))).alias(c) for c, (lo, hi) in zip(CELL, PARTS)]
     held = fps.select("fp", *counts)
     # a row for each cell: 22 * 22 * 23 at most
-    tiles_of = F.broadcast(held.groupBy(*cells).agg(F.ceil(F.count("*") / TILE_ROWS).alias("tiles")))
-    tiles = held.join(tiles_of, cells).withColumn("tile", F.pmod(F.xxhash64("fp"), "tiles")).groupBy(*cells, "tile").agg(F.collect_list("fp").alias("fps"))
-    tiles = cut(tiles, "tiles")
-    # each unordered pair of cells once: the first difference that is not 0 is positive
+    sizes = cut(held.groupBy(*CELL).agg(F.count("*").alias("n")).withColumn("groups", F.ceil(F.col("n") / GROUP_ROWS)), "cells")
+    each = F.ceil(F.col("n") / TILE_ROWS)
+    tiles = held.join(F.broadcast(sizes), CELL).withColumn("tile", F.pmod(F.xxhash64("fp"), each)).groupBy(*CELL, "tile", "groups").agg(F.collect_list("fp").alias("fps"))
+    tiles = cut(tiles.withColumn("own", F.pmod("tile", "groups")).drop("groups", "tile"), "tiles")
+    # each unordered pair of cells once: the first difference that is not 0 is positive. Visitors of a cell come from the cell `step` below it
     steps = [d for d in product(range(-RADIUS, RADIUS + 1), repeat=len(PARTS)) if sum(map(abs, d)) <= RADIUS and d >= (0,) * len(PARTS)]
-    step = F.explode(F.array(*(F.struct(*(F.lit(x).alias(f"d{i}") for i, x in enumerate(d))) for d in steps))).alias("step")
-    near = tiles.select("*", step).select(*((F.col(c) + F.col(f"step.d{i}")).alias(c) for i, c in enumerate(cells)), "tile", "fps", (F.col("step") == F.struct(*(F.lit(0).alias(f"d{i}") for i in range(len(PARTS))))).alias("same"))
-    others = tiles.select(*cells, F.col("tile").alias("other"), F.col("fps").alias("others"))
-    pairs = near.join(others, cells).where("NOT same OR tile <= other").select("fps", "others")
-    parts = max(1, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return pairs.repartition(parts).mapInArrow(_compare, "a long, b long")
+    step = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), *(F.lit(x).alias(f"d{i}") for i, x in enumerate(d))) for k, d in enumerate(steps)))).alias("step")
+    near = sizes.select(*(F.col(c).alias(f"v{c}") for c in CELL), "n", step).select(*(F.col(f"v{c}") for c in CELL), *((F.col(f"v{c}") + F.col(f"step.d{i}")).alias(c) for i, c in enumerate(CELL)), "n", F.col("step.k").alias("step"))
+    lots = cut(near.groupBy(*CELL).agg(F.ceil(F.sum("n") / LOT_ROWS).alias("lots")).join(sizes.select(*CELL, "groups"), CELL), "lots")
+    to = F.broadcast(near.drop("n").join(F.broadcast(lots), CELL))  # at most 32 rows for each cell
+    # a cell's own tiles go to its later groups only; its groups compare their own tiles themselves
+    apart = (F.col("step") > steps.index((0,) * len(PARTS))) | (F.col("group") > F.col("own"))
+    visiting = tiles.withColumnsRenamed({c: f"v{c}" for c in CELL}).join(to, [f"v{c}" for c in CELL]).withColumn("group", F.explode(F.expr("sequence(0L, groups - 1)"))).where(apart)
+    visiting = visiting.select(*CELL, "group", F.pmod(F.xxhash64("step", "own"), "lots").alias("lot"), F.lit(1).alias("kind"), "fps")
+    holding = tiles.join(F.broadcast(lots), CELL).withColumn("lot", F.explode(F.expr("sequence(0L, lots - 1)"))).select(*CELL, F.col("own").alias("group"), "lot", F.lit(0).alias("kind"), "fps")
+    total = sizes.select(F.sum("n")).first()[0] or 0
+    tasks = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1 << 14, -(-total // (1 << 16))))
+    return holding.union(visiting).repartition(tasks, *MET).sortWithinPartitions(*MET, "kind").mapInArrow(_compare, "a long, b long")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, `fp` long and `component_id`: the smallest key of all rows that links reach, the row's own included.
 
-    Null and empty texts share fingerprint 0 and are linked like any other. Repeated rows stay repeated. A null
+    Null and empty texts share fingerprint 0 and are linked like any other. Texts are read whole, whatever their length. Repeated rows stay
+    repeated, an empty table gives an empty one, and other columns, whatever their names, are not read. A null
     key never names a component unless the component has no other.
     """
     held = cut(fingerprints(docs.select(key, text), text), "fps")

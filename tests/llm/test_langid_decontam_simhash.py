@@ -3,6 +3,7 @@ import re
 import zlib
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -148,6 +149,31 @@ def test_op4_on_driver_rows(spark):
     assert sorted(map(tuple, queries.op4_simhash_tiles(spark, SF).collect())) == brute_classes(d)
 
 
+def test_op4_in_groups_and_lots(spark, monkeypatch):
+    """Many near prints in few cells: links across tiles, groups and lots of a cell and of its neighbours."""
+    for name, value in {"TILE_ROWS": 4, "GROUP_ROWS": 12, "LOT_ROWS": 40}.items():
+        monkeypatch.setattr(simhash, name, value)
+    from cairnwork.operators.graph import components
+
+    r = np.random.default_rng(8)
+    base = [int(x) for x in r.integers(0, 2**63, 12)]
+    fps = list({b ^ sum(1 << int(k) for k in r.choice(63, r.integers(0, 7), replace=False)) for b in base for _ in range(60)})
+    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(fps, 2):
+        if (a ^ b).bit_count() <= 3:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+    got = {x.node: x.root for x in components(edges, "a", "b").collect()}
+    assert {f: got.get(f, f) for f in fps} == {f: find(f) for f in fps} and len(set(got.values())) > 5
+    assert all((x.a ^ x.b).bit_count() <= 3 for x in edges.collect())
+
+
 def test_op4_chain_and_empty(spark, tmp_path):
     fps = [0, 7, 63, 511, 31 << 40]  # a chain at 3 bits each, and one apart
     edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
