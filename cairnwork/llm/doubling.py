@@ -1,10 +1,10 @@
 """Substring dedup by level-wise doubling over words.
 
-A first round asks which word windows of half the wanted length are repeated. Only one such window is asked for in
-every full window: the one of least hash, which equal full windows place alike. Full windows whose half
-is repeated are extended to twice that length (at most the wanted one) and asked for in the next round; what does not
-repeat at one length is never looked at again. The last level's repeated windows cover the words
-to remove.
+Windows grow from a short length, at most doubling, to the wanted one (9, 18, 35 words). A round asks which windows of its
+length stand in two places. Only the full windows whose part was repeated at one length are extended to the
+next, and what does not repeat is never looked at again; the rounds end when no candidate survives or the wanted
+length is reached, whose repeated windows cover the words to remove. Below the wanted length only one part of every full
+window is asked for, that of least hash, which equal full windows place alike.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cairnwork.llm import packed
 from cairnwork.llm.textscan import SPACE, prefix, span_hash, spans, window_argmin
 from cairnwork.plans.storage import cut
 
 WINDOW = 35
+#: The first level has this many words at least, and less than twice as many.
+LEAST = 8
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -28,9 +31,12 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, first, span_hash(prefix(data), starts, ends)
 
 
-def levels(width: int) -> list[int]:
-    """Window lengths: a half (rounded up), then the whole."""
-    return [(width + 1) // 2, width] if width > 1 else [width]
+def levels(width: int, least: int = LEAST) -> list[int]:
+    """Window lengths up to width, each at most twice the one before, the first below 2 * least."""
+    out = [width]
+    while out[0] >= 2 * least:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
 
 
 def _full_windows(first: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -39,16 +45,27 @@ def _full_windows(first: np.ndarray, n: int, width: int) -> np.ndarray:
     return start[start + width <= np.repeat(first[1:], np.diff(first))[: len(start)]]
 
 
-def _level(data: np.ndarray, offsets: np.ndarray, width: int, buckets: int) -> tuple:
-    """Of a block: starts of full windows, prefix sums of words, the first level's sent keys, and the key of each window."""
+def _survivors(data: np.ndarray, offsets: np.ndarray, width: int, told: list[dict[int, np.ndarray]], buckets: list[int]) -> tuple[np.ndarray, tuple | None]:
+    """Of a block: starts of the full windows that are repeated at all levels told so far, and the keys of the next level (None after the last)."""
     _, _, first, words = _words(data, offsets)
-    sums, half = prefix(words), levels(width)[0]
-    start = _full_windows(first, len(words), width)
-    place = np.arange(max(0, len(words) - half + 1))
-    grams = span_hash(sums, place, place + half)
-    picked, which = np.unique(window_argmin(grams, width - half + 1)[start], return_inverse=True)
-    entries, bucket, of = packed.send_keys(grams[picked], grams[picked], buckets)
-    return start, sums, entries, bucket, of[which], grams[picked][which]
+    sums, lengths = prefix(words), levels(width)
+    start, gram = _full_windows(first, len(words), width), None
+    for k, length in enumerate(lengths):
+        if length < width:
+            place = np.arange(max(0, len(words) - length + 1))
+            grams = span_hash(sums, place, place + length)
+            gram = grams[window_argmin(grams, width - length + 1)[start]]
+            sent = packed.send_keys(gram, gram, buckets[k])
+        else:
+            whole = span_hash(sums, start, start + width)
+            # a part's hash chooses the bucket, the window's tells it apart there
+            sent = packed.send_keys(whole, whole if gram is None else gram, buckets[k])
+        if k == len(told):
+            return start, sent
+        _, bucket, of = sent
+        alive = packed.spread(told[k], bucket)[of] > 0
+        start, gram = start[alive], None if gram is None else gram[alive]
+    return start, None
 
 
 def _sent(number: int, entries: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
@@ -65,38 +82,36 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     width words no window. Windows are told apart by 64-bit hashes within buckets chosen by another hash.
     """
     table = packed.block_table(docs, key, text)
-    n1, n2 = packed.bucket_count(table, 0.2), packed.bucket_count(table, 0.5)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                _, _, entries, bucket, _, _ = _level(*packed.opened(batch, r), width, n1)
-                yield _sent(batch["block"][r].as_py(), entries, bucket)
-
-    halves = cut(packed.answered(table.mapInArrow(first, packed.PACK), packed.repeated, packed.KEY), "halves")
-
-    def candidates(batch: pa.RecordBatch, r: int) -> tuple[np.ndarray, tuple]:
-        start, sums, _, bucket, of, gram = _level(*packed.opened(batch, r), width, n1)
-        alive = packed.spread(packed.answers(batch, r), bucket)[of] > 0
-        start = start[alive]
-        return start, packed.send_keys(span_hash(sums, start, start + width), gram[alive], n2)
-
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                entries, bucket, _ = candidates(batch, r)[1]
-                yield _sent(batch["block"][r].as_py(), entries, bucket)
-
-    alive = packed.joined(table, halves)
-    wholes = cut(packed.answered(alive.mapInArrow(second, packed.PACK), packed.repeated, packed.KEY), "wholes")
+    lengths = levels(width)
+    # the longer the first windows are, the fewer of them are asked for: about two in width - length + 2 words
+    buckets = [packed.bucket_count(table, 0.2 if length < width else 0.5) for length in lengths]
+
+    def told(batch: pa.RecordBatch, r: int, upto: int) -> list[dict[int, np.ndarray]]:
+        return [packed.answers(batch, r, f"level{k}") for k in range(upto)]
+
+    def asking(level: int):
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    _, (entries, bucket, _) = _survivors(*packed.opened(batch, r), width, told(batch, r, level), buckets)
+                    yield _sent(batch["block"][r].as_py(), entries, bucket)
+
+        return ask
+
+    held = table
+    for level in range(len(lengths)):
+        got = cut(packed.answered(held.mapInArrow(asking(level), packed.PACK), packed.repeated, packed.KEY, buckets[level]), "level")
+        held = packed.joined(held, got, f"level{level}")
+        if not got.select(F.sum("hits")).first()[0]:
+            break
+    rounds = level + 1
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                start, (_, bucket, of) = candidates(batch, r)
-                got = {x["bucket"]: np.frombuffer(x["got"], np.uint8) for x in batch["last"][r].as_py() or []}
-                start = start[packed.spread(got, bucket)[of] > 0]
                 data, offsets = packed.opened(batch, r)
+                # without candidates at a level there are none at the last
+                start = _survivors(data, offsets, width, told(batch, r, rounds), buckets)[0] if rounds == len(lengths) else np.zeros(0, np.int64)
                 starts, ends, doc, _ = _words(data, offsets)
                 gone = packed.covered(start, width, len(starts))
                 body, out = data.tobytes(), []
@@ -110,5 +125,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
                 cols = list(zip(*out)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([batch["keys"][r].values, *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string())))], names=[key, "n_words", "n_removed", "kept_sha256", "kept"])
 
-    both = packed.joined(alive.withColumnRenamed("answers", "halves"), wholes).withColumnsRenamed({"answers": "last", "halves": "answers"})
-    return both.mapInArrow(finish, f"{key} long, n_words long, n_removed long, kept_sha256 string, kept string")
+    return held.mapInArrow(finish, f"{key} long, n_words long, n_removed long, kept_sha256 string, kept string")

@@ -21,7 +21,9 @@ from cairnwork.llm.textscan import BLOCK_BYTES, blocks
 from cairnwork.plans.storage import bounded_batches, cut_bucketed
 
 #: Bytes of packed keys in a bucket, about.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
+#: Most partitions of a round.
+MOST_TASKS = 1 << 14
 
 PACK = "block long, bucket long, sent binary"
 
@@ -82,8 +84,13 @@ def packs(bucket: np.ndarray, entries: np.ndarray) -> Iterator[tuple[int, np.nda
         yield int(bucket[order[at]]), order[at : edges[i + 1] if i + 1 < len(edges) else len(order)]
 
 
-def answered(sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype: np.dtype) -> DataFrame:
-    """(block, bucket, got): judge(entries of a bucket, number of the block of each) gives a byte for each entry."""
+def dealt(sent: DataFrame, buckets: int) -> DataFrame:
+    """sent by bucket, over a number of tasks that follows the number of buckets: a task's share has a bound, whatever the data."""
+    return sent.repartition(max(1, min(buckets, MOST_TASKS)), "bucket")
+
+
+def answered(sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype: np.dtype, buckets: int) -> DataFrame:
+    """(block, bucket, got, hits): judge(entries of a bucket, number of the block of each) gives a byte for each entry; hits counts those that are not 0."""
 
     def reply(t: pa.Table) -> pa.Table:
         t = t.combine_chunks().sort_by("block")
@@ -92,20 +99,20 @@ def answered(sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray], np.ndarr
         flags = judge(np.concatenate(sent_), np.repeat(np.arange(len(sizes)), sizes)).astype(np.uint8)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         got = [flags[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-        return pa.table({"block": t["block"], "bucket": t["bucket"], "got": pa.array(got, pa.binary())})
+        return pa.table({"block": t["block"], "bucket": t["bucket"], "got": pa.array(got, pa.binary()), "hits": pa.array([int((flags[a:b] > 0).sum()) for a, b in zip(ends[:-1], ends[1:])], pa.int64())})
 
-    return sent.groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary")
+    return dealt(sent, buckets).groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary, hits long")
 
 
-def joined(table: DataFrame, per_block: DataFrame) -> DataFrame:
-    """table with the rows of per_block gathered as `answers` (null without any); only per_block is shuffled."""
-    gathered = per_block.groupBy("block").agg(F.collect_list(F.struct(*per_block.columns[1:])).alias("answers"))
+def joined(table: DataFrame, per_block: DataFrame, name: str = "answers") -> DataFrame:
+    """table with the rows of per_block gathered under a name (null without any); only per_block is shuffled."""
+    gathered = per_block.groupBy("block").agg(F.collect_list(F.struct(*(c for c in per_block.columns[1:] if c != "hits"))).alias(name))
     return table.join(gathered.hint("shuffle_hash"), "block", "left")
 
 
-def answers(batch: pa.RecordBatch, r: int) -> dict[int, np.ndarray]:
+def answers(batch: pa.RecordBatch, r: int, name: str = "answers") -> dict[int, np.ndarray]:
     """bucket -> a byte for each key sent."""
-    cell = batch["answers"][r].as_py() or []
+    cell = batch[name][r].as_py() or []
     return {x["bucket"]: np.frombuffer(x["got"], np.uint8) for x in cell}
 
 

@@ -234,7 +234,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 yield _sent(batch["block"][r].as_py(), [(b, entries[at].tobytes(), b"") for b, at in packed.packs((entries["h"] % np.uint64(n1)).astype(np.int64), entries)])
 
     asked = table.mapInArrow(first, SENT).select("block", "bucket", "sent")
-    anchors = cut(packed.answered(asked, _judge_anchors, ANCHOR), "anchors")
+    anchors = cut(packed.answered(asked, _judge_anchors, ANCHOR, n1), "anchors")
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,7 +266,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             got = [np.packbits(np.concatenate(flags[a:b])).tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"block": t["block"], "bucket": t["bucket"], "got": pa.array(got, pa.binary())})
 
-    replies = asked.where("bucket >= 0").select("block", "bucket", "sent").groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary")
+    # crowded anchors have as many buckets again
+    replies = packed.dealt(asked.where("bucket >= 0").select("block", "bucket", "sent"), 2 * n2).groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary")
     replies = cut(replies, "replies").withColumnRenamed("got", "blob").withColumn("kind", F.lit(1))
     local = asked.select("block", "bucket", F.col("local").alias("blob"), F.lit(0).alias("kind"))
     facts = local.unionByName(replies).select("block", "bucket", "kind", "blob")
