@@ -1,8 +1,8 @@
 """Benchmark decontamination with a document-sharded positional inverted index.
 
-A block of documents is an index shard: for every term of the benchmark, the sorted positions at which
-it stands. Shards are numbered and stored; counts of the terms over all shards say which terms are rare. A phrase
-is looked up from its rarest term: its postings, moved by the term's offset, are candidate starts, and the
+A block of documents is an index shard: for every term in it, the sorted positions at which it stands. The index knows nothing of a
+benchmark: it is built and stored once and answers any number of them. Counts of a benchmark's terms over all shards say which of
+them are rare. A phrase is looked up from its rarest term: its postings, moved by the term's offset, are candidate starts, and the
 other terms' postings are intersected with them in order of rarity. Proximity search takes, around each posting of the rarest
 term, the nearest postings of the others.
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
@@ -69,68 +69,73 @@ def windows_of(items: list[tuple[object, str | None]], width: int = WINDOW) -> W
     return Windows(vocab, terms, (terms >= 0).sum(1), [np.array(sorted(s)) for s in seen.values()], names)
 
 
-def build_index(docs: DataFrame, vocab: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per shard: its number, keys and word ranges of its documents, and per term of vocab its count and its positions."""
+INDEX = "shard long, keys array<long>, n_words binary, terms binary, counts binary, postings binary"
+
+
+def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row per shard: its number, keys and word counts of its documents, and its terms (hashes, sorted) with the count and the positions of each."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for a, b, data, offsets in blocks(batch[text]):
                 h, first = words_of(data, offsets)
-                at = np.searchsorted(vocab, h)
-                at[at == len(vocab)] = 0
-                known = np.flatnonzero(vocab[at] == h) if len(vocab) else np.zeros(0, np.int64)
-                position = known + GAP * (np.searchsorted(first, known, "right") - 1)
-                order = np.argsort(at[known], kind="stable")
-                counts = np.bincount(at[known], minlength=len(vocab))
-                held = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([next(numbers)], pa.int64()),
-                    "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())),
-                    "n_words": pa.array([np.diff(first).astype(np.int64)], pa.list_(pa.int64())),
-                    "terms": pa.array([held], pa.list_(pa.int64())),
-                    "counts": pa.array([counts[held]], pa.list_(pa.int64())),
-                    "postings": pa.array([position[order].astype(np.int32).tobytes()], pa.binary()),
-                })
+                position = np.arange(len(h)) + GAP * np.repeat(np.arange(b - a), np.diff(first))
+                order = np.argsort(h, kind="stable")
+                terms, counts = np.unique(h[order], return_counts=True)
+                cells = {"n_words": np.diff(first).astype(np.int64), "terms": terms, "counts": counts.astype(np.int32), "postings": position[order].astype(np.int32)}
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([next(numbers)], pa.int64()), "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in cells.items()}})
 
-    return bounded_batches(docs).select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, "shard long, keys array<long>, n_words array<long>, terms array<long>, counts array<long>, postings binary")
+    return bounded_batches(docs).select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, INDEX)
 
 
-def term_counts(index: DataFrame, terms: int) -> np.ndarray:
-    """How often each term stands in all shards; the sum of one vector per task reaches the driver, a term a row."""
+def term_counts(index: DataFrame, vocab: np.ndarray) -> np.ndarray:
+    """How often each term of vocab (sorted hashes) stands in all shards; the sum of one vector per task reaches the driver, a term a row."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(terms, np.int64)
+        total = np.zeros(len(vocab), np.int64)
         for batch in batches:
             for r in range(batch.num_rows):
-                total[np.asarray(batch["terms"][r].values)] += np.asarray(batch["counts"][r].values)
+                at, there = _places(np.frombuffer(batch["terms"][r].as_buffer(), np.uint64), vocab)
+                total[there] += np.frombuffer(batch["counts"][r].as_buffer(), np.int32)[at[there]]
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"term": pa.array(held), "n": pa.array(total[held])})
 
-    out = np.zeros(terms, np.int64)
+    out = np.zeros(len(vocab), np.int64)
     for r in index.select("terms", "counts").mapInArrow(summed, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[r["term"]] = r["n"]
     return out
 
 
-class Shard:
-    """The postings of a stored shard."""
+def _places(terms: np.ndarray, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each term of vocab in terms, whether it is there); both sorted."""
+    at = np.searchsorted(terms, vocab)
+    at[at == len(terms)] = 0
+    return at, terms[at] == vocab if len(terms) else np.zeros(len(vocab), bool)
+
 
-    def __init__(self, terms: np.ndarray, counts: np.ndarray, postings: np.ndarray, n_words: np.ndarray) -> None:
-        self.terms, self.postings = terms, postings.astype(np.int64)
-        self.ends = np.concatenate([[0], np.cumsum(counts)])
+class Shard:
+    """The postings of a stored shard, its terms numbered by a vocabulary."""
+
+    def __init__(self, terms: np.ndarray, counts: np.ndarray, postings: np.ndarray, n_words: np.ndarray, vocab: np.ndarray) -> None:
+        at, there = _places(terms, vocab)
+        ends = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
+        number = np.flatnonzero(there)
+        n = np.zeros(len(vocab), np.int64)
+        n[number] = counts[at[number]]
+        # the vocabulary's postings alone, in its order
+        self.ends = np.concatenate([[0], np.cumsum(n)])
+        own = np.arange(self.ends[-1]) - np.repeat(self.ends[:-1], n) + np.repeat(np.where(there, ends[:-1][at] if len(terms) else 0, 0), n)
+        self.postings = postings[own].astype(np.int64)
         # documents' first positions
         self.first = np.concatenate([[0], np.cumsum(n_words)]) + GAP * np.arange(len(n_words) + 1)
         # one sorted array of (term, position): any list can be intersected with it at once
         self.span = int(self.first[-1]) + 1
-        self.keyed = np.repeat(terms, counts) * self.span + self.postings
+        self.keyed = np.repeat(np.arange(len(vocab)), n) * self.span + self.postings
 
     def lists(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(from, to) of the postings of each term; an empty range without any."""
-        at = np.searchsorted(self.terms, terms)
-        at_ = np.minimum(at, max(0, len(self.terms) - 1))
-        there = (self.terms[at_] == terms) if len(self.terms) else np.zeros(len(terms), bool)
-        return np.where(there, self.ends[at_], 0), np.where(there, self.ends[at_ + 1] if len(self.terms) else 0, 0)
+        return self.ends[terms], self.ends[terms + 1]
 
     def has(self, terms: np.ndarray, positions: np.ndarray) -> np.ndarray:
         want = terms * self.span + positions
@@ -162,10 +167,10 @@ class Shard:
         return out
 
 
-def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, list, np.ndarray, Shard]]:
+def _shards(batch: pa.RecordBatch, vocab: np.ndarray) -> Iterator[tuple[int, list, np.ndarray, Shard]]:
     for r in range(batch.num_rows):
-        terms, counts, n_words = (np.asarray(batch[c][r].values).astype(np.int64) for c in ("terms", "counts", "n_words"))
-        yield batch["shard"][r].as_py(), batch["keys"][r].as_py(), n_words, Shard(terms, counts, np.frombuffer(batch["postings"][r].as_py(), np.int32), n_words)
+        n_words, terms, counts, postings = (np.frombuffer(batch[c][r].as_buffer(), kind) for c, kind in (("n_words", np.int64), ("terms", np.uint64), ("counts", np.int32), ("postings", np.int32)))
+        yield batch["shard"][r].as_py(), batch["keys"][r].as_py(), n_words, Shard(terms, counts, postings, n_words, vocab)
 
 
 def _rarity(terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -177,47 +182,51 @@ def _rarity(terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def match(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
     """A row per document: key, n_words, n_hit (words inside any occurrence of a window), n_items, items_sha256, contaminated.
 
-    Null texts have no words; null item ids and item texts give no window. An empty benchmark hits nothing.
+    Null texts have no words; null item ids and item texts give no window. An empty benchmark hits nothing, an empty table of documents gives
+    an empty one. Repeated rows and rows that share a key are each judged; texts are read whole, and columns of other names are not read.
     Words are told apart by 64-bit hashes.
     """
-    got = [(r[0], r[1]) for r in benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(item, item_text).toLocalIterator()]
-    passes, part, held = [], [], 0
-    for pair in got:
-        most = len(pair[1]) // 2 + 1
+    return match_index(cut(build_index(docs, key, text), "index"), benchmark, key, item, item_text, width)
+
+
+def _passes(benchmark: DataFrame, item: str, item_text: str) -> Iterator[list[tuple[object, str]]]:
+    """The benchmark in parts of at most MAX_WINDOWS windows, or one item."""
+    part, held = [], 0
+    for r in benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(item, item_text).toLocalIterator():
+        most = len(r[1]) // 2 + 1
         if part and held + most > MAX_WINDOWS:
-            passes.append(part)
+            yield part
             part, held = [], 0
-        part.append(pair)
+        part.append((r[0], r[1]))
         held += most
-    passes.append(part)
-    parts = [windows_of(p, width) for p in passes]
-    vocab = np.unique(np.concatenate([w.vocab for w in parts]))
-    index = cut(build_index(docs, vocab, key, text), "index")
-    counts = term_counts(index, len(vocab))
-    hits = [_match_pass(index, _renumbered(w, vocab), counts, key) for w in parts]
-    if len(hits) == 1:
-        return _finished(hits[0], key)
-    both = hits[0]
-    for more in hits[1:]:
+    yield part
+
+
+def match_index(index: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
+    """match over a stored index. The driver holds one pass of the benchmark at a time."""
+    hits, last = [], None
+    for part in _passes(benchmark, item, item_text):
+        if last is not None:
+            hits.append(cut(last, "hits"))
+        windows = windows_of(part, width)
+        last = _match_pass(index, windows, term_counts(index, windows.vocab), key)
+    if not hits:
+        return _finished(last, key)
+    both = last
+    for more in hits:
         both = both.unionByName(more)
     # the same row of a stored shard has one row a pass, whatever its key is
     merged = both.groupBy("shard", "place").agg(F.first(key).alias(key), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hit")).alias("hit"), F.flatten(F.collect_list("items")).alias("items"))
     return _finished(merged, key)
 
 
-def _renumbered(windows: Windows, vocab: np.ndarray) -> Windows:
-    """windows with the term numbers of a vocab that holds theirs."""
-    number = np.append(np.searchsorted(vocab, windows.vocab), -1)
-    return replace(windows, vocab=vocab, terms=number[windows.terms])
-
-
 def _match_pass(index: DataFrame, windows: Windows, counts: np.ndarray, key: str) -> DataFrame:
     """shard, place, key, n_words, hit (ranges of words as from, to, from, to ..), items."""
     order = _rarity(windows.terms, counts)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at_shard, keys, n_words, shard in _shards(batch):
+            for at_shard, keys, n_words, shard in _shards(batch, windows.vocab):
                 window, start = shard.phrases(windows.terms, order)
                 doc = np.searchsorted(shard.first, start, "right") - 1
                 by_doc = np.argsort(doc, kind="stable")
@@ -255,14 +264,18 @@ def _finished(hits: DataFrame, key: str) -> DataFrame:
 
 def proximity(docs: DataFrame, phrase: str, slop: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, position): words of docs where the phrase's rarest term stands with all its other terms at most slop words away."""
+    return proximity_index(cut(build_index(docs, key, text), "index"), phrase, slop, key)
+
+
+def proximity_index(index: DataFrame, phrase: str, slop: int, key: str = "doc_id") -> DataFrame:
+    """proximity over a stored index."""
     data, offsets = raw(pa.array([phrase], pa.large_string()))
     vocab = np.unique(words_of(data, offsets)[0])
-    index = cut(build_index(docs, vocab, key, text), "index")
-    terms = np.argsort(term_counts(index, len(vocab)), kind="stable").tolist()
+    terms = np.argsort(term_counts(index, vocab), kind="stable").tolist()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, keys, _, shard in _shards(batch):
+            for _, keys, _, shard in _shards(batch, vocab):
                 at = shard.near(terms, slop) if terms else np.zeros(0, np.int64)
                 doc = np.searchsorted(shard.first, at, "right") - 1
                 yield pa.RecordBatch.from_pydict({key: pa.array([keys[d] for d in doc], pa.int64()), "position": pa.array(at - shard.first[doc])})

@@ -98,6 +98,18 @@ def test_op3_in_several_passes_keeps_rows_that_share_an_id(spark, monkeypatch):
     assert len(got) == len(held) and got == want
 
 
+def test_one_stored_index_answers_many(spark):
+    index = decontam.build_index(docs(spark)).cache()
+    everything = [(i, t) for i, t, *_ in rows()]
+    for items in (ITEMS, ITEMS[:1], [(9, "x y")], []):
+        got = decontam.match_index(index, spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert sorted(map(tuple, got)) == brute_decontam(everything, items)
+    assert decontam.proximity_index(index, "x y", 1).count() >= 1
+    stored = index.select(F.sum(F.octet_length("postings")) / 4).first()[0]
+    assert stored == sum(len(lowered(t)) for _, t in everything)  # every token is posted
+    index.unpersist()
+
+
 def test_op3_on_driver_rows(spark):
     d = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     b = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
