@@ -45,7 +45,7 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans(_docs(spark, sf_dir))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("found").alias("spans"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("found").alias("spans"), F.size("found").cast("long").alias("n_spans"), (F.size("found") > 0).alias("private"))
 
 
 def op7_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
