@@ -100,7 +100,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
 
     held = table
     for level in range(len(lengths)):
-        got = cut(packed.answered(held.mapInArrow(asking(level), packed.PACK), packed.repeated, packed.KEY, buckets[level]), "level")
+        got = cut(packed.answered(held.mapInArrow(asking(level), packed.PACK), lambda bucket: (packed.repeated, packed.KEY), buckets[level]), "level")
         held = packed.joined(held, got, f"level{level}")
         if not got.select(F.sum("hits")).first()[0]:
             break

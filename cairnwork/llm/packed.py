@@ -89,14 +89,18 @@ def dealt(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.repartition(max(1, min(buckets, MOST_TASKS)), "bucket")
 
 
-def answered(sent: DataFrame, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype: np.dtype, buckets: int) -> DataFrame:
-    """(block, bucket, got, hits): judge(entries of a bucket, number of the block of each) gives a byte for each entry; hits counts those that are not 0."""
+Judge = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def answered(sent: DataFrame, judge: Callable[[int], tuple[Judge, np.dtype]], buckets: int) -> DataFrame:
+    """(block, bucket, got, hits): a bucket's judge, given its entries and the number of the block of each, makes a byte for each entry; hits counts those that are not 0."""
 
     def reply(t: pa.Table) -> pa.Table:
         t = t.combine_chunks().sort_by("block")
+        decide, dtype = judge(t["bucket"][0].as_py())
         sent_ = [np.frombuffer(x, dtype) for x in t["sent"].to_pylist()]
         sizes = np.array([len(x) for x in sent_])
-        flags = judge(np.concatenate(sent_), np.repeat(np.arange(len(sizes)), sizes)).astype(np.uint8)
+        flags = decide(np.concatenate(sent_), np.repeat(np.arange(len(sizes)), sizes)).astype(np.uint8)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         got = [flags[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"block": t["block"], "bucket": t["bucket"], "got": pa.array(got, pa.binary()), "hits": pa.array([int((flags[a:b] > 0).sum()) for a, b in zip(ends[:-1], ends[1:])], pa.int64())})

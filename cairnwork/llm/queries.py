@@ -17,7 +17,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_bwt_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(_docs(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffixes.remove_repeats(_docs(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared")
 
 
 def op2_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:

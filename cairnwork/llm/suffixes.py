@@ -13,6 +13,9 @@ stands as one symbol, so a string of 400 bytes is one of 113 symbols, and for a
 
 An anchor with very many different segments is not gathered in one place: its strings go out one by one, each as one
 symbol (depth 1), spread over all buckets.
+
+Shorter repeats are reported, not removed: round one also asks which anchors of REPORT bytes (their 172-byte grams) occur
+elsewhere. Any string of REPORT bytes that stands twice holds such an anchor, so a document has one if it shares a passage of that length.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from cairnwork.llm.textscan import prefix, span_hash, window_argmin
 from cairnwork.plans.storage import cut
 
 LENGTH = 400
+#: Strings of this length that stand elsewhere too are reported: about fifty short words.
+REPORT = 240
 #: Different segments of an anchor (summed over blocks) beyond which its strings go out one by one.
 HOT = 2000
 #: Symbols of one transform, about.
@@ -101,13 +106,12 @@ def bounded_repeats(text: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def units(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Of a block: each anchor's place, first string, number of strings, gram hash, segment hash."""
-    n, gram = len(data), gram_length(length)
+def _anchored(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, place of its anchor) of every string of a block that lies in one document."""
+    n, gram = len(sums) - 1, gram_length(length)
     width = length - gram + 1
-    sums = prefix(data)
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    strings, anchors = [], []
+    strings, anchors = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, n - length + 1, CHUNK):
         upto = min(at + CHUNK, n - length + 1)
         place = np.arange(at, upto + width - 1)
@@ -116,10 +120,16 @@ def units(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
         inside = start + length <= ends[at:upto]
         strings.append(start[inside])
         anchors.append(anchor[inside])
-    if not strings or not sum(map(len, strings)):
+    return np.concatenate(strings), np.concatenate(anchors)
+
+
+def units(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Of a block (its prefix sums): each anchor's place, first string, number of strings, gram hash, segment hash."""
+    gram = gram_length(length)
+    start, anchor = _anchored(sums, offsets, length)
+    if not len(start):
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    start, anchor = np.concatenate(strings), np.concatenate(anchors)
     fresh = np.ones(len(start), bool)
     fresh[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
     at = np.flatnonzero(fresh)
@@ -128,6 +138,13 @@ def units(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
     return p, s, count, span_hash(sums, p, p + gram), span_hash(sums, s, s + count - 1 + length)
 
 
+def short_anchors(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, gram hash) of the different anchors of strings of length bytes."""
+    anchor = _anchored(sums, offsets, length)[1]
+    p = np.unique(anchor)
+    return p, span_hash(sums, p, p + gram_length(length))
+
+
 ANCHOR = np.dtype([("h", "<u8"), ("segment", "<u8"), ("kinds", "u1"), ("many", "u1")])
 STRING = np.dtype([("h", "<u8"), ("s", "<u8"), ("many", "u1")])
 ONCE, SAME, MIXED, CROWDED = range(4)
@@ -212,38 +229,56 @@ def judge_segments(entries: list[tuple[int, bytes, bytes, int]], width: int) ->
     return out
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans, kept_sha256, kept (binary), one row per document.
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, report: int = REPORT) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans, kept_sha256, n_shared, kept (binary), one row per document.
 
     A byte goes if a string of length bytes over it also starts elsewhere, in this document or another; overlaps and
-    repeated rows count, and strings are judged on the input. A null text is empty; a text shorter than length keeps all. What is
-    left may end in the middle of a character, so it is binary. Anchors and segments are told apart by 64-bit hashes, both
-    of which must agree; segments that meet are compared byte by byte.
+    repeated rows count, and strings are judged on the input. A null text is empty; a text shorter than length keeps all; an empty table gives an
+    empty one, and columns of other names are not read. What is left may end in the middle of a character, so it is binary. Anchors and segments
+    are told apart by 64-bit hashes, both of which must agree; segments that meet are compared byte by byte.
+
+    n_shared counts the bytes under an anchor's gram (18/25 of `report` bytes) that stands elsewhere too. It is above 0 wherever a string of `report` bytes
+    stands elsewhere too; a shorter one, down to the gram's length, may count.
     """
     table = packed.block_table(docs, key, text, BLOCK_BYTES)
     gram, width = gram_length(length), length - gram_length(length) + 1
     # a segment as Python objects takes some times its bytes, hence the many buckets of the second round
     n1 = packed.bucket_count(table, 18 * 2 / (width + 1))
     n2 = packed.bucket_count(table, 1.0)
+    n3 = packed.bucket_count(table, 9 * 2 / (report - gram_length(report) + 2))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                *_, h, segment = units(*packed.opened(batch, r), length)
+                data, offsets = packed.opened(batch, r)
+                sums = prefix(data)
+                *_, h, segment = units(sums, offsets, length)
                 entries, _ = _anchor_entries(h, segment)
-                yield _sent(batch["block"][r].as_py(), [(b, entries[at].tobytes(), b"") for b, at in packed.packs((entries["h"] % np.uint64(n1)).astype(np.int64), entries)])
+                rows = [(b, entries[at].tobytes(), b"") for b, at in packed.packs((entries["h"] % np.uint64(n1)).astype(np.int64), entries)]
+                grams = short_anchors(sums, offsets, report)[1]
+                entries, bucket, _ = packed.send_keys(grams, grams, n3)
+                yield _sent(batch["block"][r].as_py(), rows + [(n1 + b, entries[at].tobytes(), b"") for b, at in packed.packs(bucket, entries)])
+
+    def judge(bucket: int):
+        return (_judge_anchors, ANCHOR) if bucket < n1 else (packed.repeated, packed.KEY)
 
     asked = table.mapInArrow(first, SENT).select("block", "bucket", "sent")
-    anchors = cut(packed.answered(asked, _judge_anchors, ANCHOR, n1), "anchors")
+    anchors = cut(packed.answered(asked, judge, n1 + n3), "anchors")
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 data, offsets = packed.opened(batch, r)
-                p, s, count, h, segment = units(data, offsets, length)
+                sums = prefix(data)
+                p, s, count, h, segment = units(sums, offsets, length)
                 entries, of = _anchor_entries(h, segment)
-                code = packed.spread(packed.answers(batch, r), (entries["h"] % np.uint64(n1)).astype(np.int64))[of]
-                yield _sent(batch["block"][r].as_py(), _asked_segments(data, p, s, count, h, segment, code, length, n2))
+                got = packed.answers(batch, r)
+                code = packed.spread(got, (entries["h"] % np.uint64(n1)).astype(np.int64))[of]
+                place, grams = short_anchors(sums, offsets, report)
+                _, bucket, of = packed.send_keys(grams, grams, n3)
+                again = place[packed.spread(got, bucket + n1)[of] > 0].astype(np.int32)
+                shared = [(SHARED, b"", again.tobytes())] if len(again) else []
+                yield _sent(batch["block"][r].as_py(), _asked_segments(data, sums, p, s, count, h, segment, code, length, n2) + shared)
 
     asked = cut(packed.joined(table, anchors).mapInArrow(second, SENT), "segments")
 
@@ -276,19 +311,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         for batch in batches:
             for r in range(batch.num_rows):
                 data, offsets = packed.opened(batch, r)
-                gone = _gone(len(data), batch["answers"][r].as_py() or [], length, n2)
+                facts = batch["answers"][r].as_py() or []
+                again = [np.frombuffer(f["blob"], np.int32).astype(np.int64) for f in facts if f["kind"] == 0 and f["bucket"] == SHARED]
+                shared = packed.covered(again[0], gram_length(report), len(data)) if again else np.zeros(len(data), bool)
+                gone = _gone(len(data), [f for f in facts if f["bucket"] != SHARED], length, n2)
                 rows = []
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                     own = gone[a:b]
                     kept = data[a:b][~own].tobytes()
-                    rows.append((b - a, int(own.sum()), int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept))
-                cols = list(zip(*rows)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([batch["keys"][r].values, *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())))], names=[key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    rows.append((b - a, int(own.sum()), int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()), hashlib.sha256(kept).hexdigest(), int(shared[a:b].sum()), kept))
+                cols = list(zip(*rows)) or [()] * 6
+                yield pa.RecordBatch.from_arrays([batch["keys"][r].values, *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())))], names=[key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept"])
 
-    return packed.joined(table, facts).mapInArrow(finish, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return packed.joined(table, facts).mapInArrow(finish, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long, kept binary")
 
 
 SENT = "block long, bucket long, sent binary, local binary"
+#: Buckets below 0 are never sent: strings always in one segment (-1), places of the shorter anchors that stand elsewhere too.
+SHARED = -2
 
 
 def _sent(number: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
@@ -296,7 +336,7 @@ def _sent(number: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], names=["block", "bucket", "sent", "local"])
 
 
-def _asked_segments(data: np.ndarray, p: np.ndarray, s: np.ndarray, count: np.ndarray, h: np.ndarray, segment: np.ndarray, code: np.ndarray, length: int, n2: int) -> list[tuple[int, bytes, bytes]]:
+def _asked_segments(data: np.ndarray, sums: np.ndarray, p: np.ndarray, s: np.ndarray, count: np.ndarray, h: np.ndarray, segment: np.ndarray, code: np.ndarray, length: int, n2: int) -> list[tuple[int, bytes, bytes]]:
     """Rows of the second round. `local` keeps what each entry stands for: (entry, first string, strings) of each occurrence."""
     gram = gram_length(length)
     rows = []
@@ -323,7 +363,7 @@ def _asked_segments(data: np.ndarray, p: np.ndarray, s: np.ndarray, count: np.nd
         n = count[crowded]
         start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(s[crowded], n)
         pair = np.empty(len(start), np.dtype([("h", "<u8"), ("s", "<u8")]))
-        pair["h"], pair["s"] = np.repeat(h[crowded], n), span_hash(prefix(data), start, start + length)
+        pair["h"], pair["s"] = np.repeat(h[crowded], n), span_hash(sums, start, start + length)
         uniq, which, many = np.unique(pair, return_inverse=True, return_counts=True)
         entries = np.zeros(len(uniq), STRING)
         entries["h"], entries["s"], entries["many"] = uniq["h"], uniq["s"], many > 1
