@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+#: Rows may have some megabytes. Left alone, the writer looks at a page's size after a hundred rows first, and a page is held, compressed and read as a whole,
+#: outside the heap too. Row groups are held until they are full.
+PAGES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "16", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "16", "parquet.block.size": str(16 << 20)}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,7 +58,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.options(**PAGES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -71,6 +74,6 @@ def cut_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFra
     """Like cut, as a table bucketed by a column: joins on that column do not shuffle it. The table is dropped when the application ends."""
     spark, table = df.sparkSession, f"cairnwork_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/cairnwork/{table}"
-    df.write.option("path", path).bucketBy(buckets, column).format("parquet").saveAsTable(table)
+    df.write.options(**PAGES).option("path", path).bucketBy(buckets, column).format("parquet").saveAsTable(table)
     atexit.register(_drop, spark, table, path)
     return spark.table(table)
