@@ -54,8 +54,10 @@ def _survivors(data: np.ndarray, offsets: np.ndarray, width: int, told: list[dic
         if length < width:
             place = np.arange(max(0, len(words) - length + 1))
             grams = span_hash(sums, place, place + length)
-            gram = grams[window_argmin(grams, width - length + 1)[start]]
-            sent = packed.send_keys(gram, gram, buckets[k])
+            # a part that many windows choose at one place is one key; it is held more than once only if it stands at several
+            picked, which = np.unique(window_argmin(grams, width - length + 1)[start], return_inverse=True)
+            entries, bucket, of = packed.send_keys(grams[picked], grams[picked], buckets[k])
+            sent, gram = (entries, bucket, of[which]), grams[picked][which]
         else:
             whole = span_hash(sums, start, start + width)
             # a part's hash chooses the bucket, the window's tells it apart there
@@ -100,7 +102,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
 
     held = table
     for level in range(len(lengths)):
-        got = cut(packed.answered(held.mapInArrow(asking(level), packed.PACK), lambda bucket: (packed.repeated, packed.KEY), buckets[level]), "level")
+        got = cut(packed.answered(held.mapInArrow(asking(level), packed.PACK), lambda bucket: (packed.repeated, packed.KEY)), "level")
         held = packed.joined(held, got, f"level{level}")
         if not got.select(F.sum("hits")).first()[0]:
             break

@@ -22,8 +22,6 @@ from cairnwork.plans.storage import bounded_batches, cut_bucketed
 
 #: Bytes of packed keys in a bucket, about.
 BUCKET_BYTES = 6 << 20
-#: Most partitions of a round.
-MOST_TASKS = 1 << 14
 
 PACK = "block long, bucket long, sent binary"
 
@@ -84,15 +82,10 @@ def packs(bucket: np.ndarray, entries: np.ndarray) -> Iterator[tuple[int, np.nda
         yield int(bucket[order[at]]), order[at : edges[i + 1] if i + 1 < len(edges) else len(order)]
 
 
-def dealt(sent: DataFrame, buckets: int) -> DataFrame:
-    """sent by bucket, over a number of tasks that follows the number of buckets: a task's share has a bound, whatever the data."""
-    return sent.repartition(max(1, min(buckets, MOST_TASKS)), "bucket")
-
-
 Judge = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def answered(sent: DataFrame, judge: Callable[[int], tuple[Judge, np.dtype]], buckets: int) -> DataFrame:
+def answered(sent: DataFrame, judge: Callable[[int], tuple[Judge, np.dtype]]) -> DataFrame:
     """(block, bucket, got, hits): a bucket's judge, given its entries and the number of the block of each, makes a byte for each entry; hits counts those that are not 0."""
 
     def reply(t: pa.Table) -> pa.Table:
@@ -105,7 +98,7 @@ def answered(sent: DataFrame, judge: Callable[[int], tuple[Judge, np.dtype]], bu
         got = [flags[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"block": t["block"], "bucket": t["bucket"], "got": pa.array(got, pa.binary()), "hits": pa.array([int((flags[a:b] > 0).sum()) for a, b in zip(ends[:-1], ends[1:])], pa.int64())})
 
-    return dealt(sent, buckets).groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary, hits long")
+    return sent.groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary, hits long")
 
 
 def joined(table: DataFrame, per_block: DataFrame, name: str = "answers") -> DataFrame:

@@ -40,7 +40,8 @@ HOT = 2000
 #: Symbols of one transform, about.
 BATCH = 1 << 19
 CHUNK = 1 << 16
-BLOCK_BYTES = 1 << 20
+#: Working arrays take some hundred bytes for each byte of a block.
+BLOCK_BYTES = 1 << 19
 
 
 def gram_length(length: int) -> int:
@@ -110,13 +111,14 @@ def _anchored(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     """(start, place of its anchor) of every string of a block that lies in one document."""
     n, gram = len(sums) - 1, gram_length(length)
     width = length - gram + 1
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    strings, anchors = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    kind = np.int32 if n < 1 << 31 else np.int64
+    ends = np.repeat(offsets[1:].astype(kind), np.diff(offsets))
+    strings, anchors = [np.zeros(0, kind)], [np.zeros(0, kind)]
     for at in range(0, n - length + 1, CHUNK):
         upto = min(at + CHUNK, n - length + 1)
         place = np.arange(at, upto + width - 1)
-        anchor = at + window_argmin(span_hash(sums, place, place + gram), width)
-        start = np.arange(at, upto)
+        anchor = (at + window_argmin(span_hash(sums, place, place + gram), width)).astype(kind)
+        start = np.arange(at, upto, dtype=kind)
         inside = start + length <= ends[at:upto]
         strings.append(start[inside])
         anchors.append(anchor[inside])
@@ -134,14 +136,14 @@ def units(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
     fresh[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
     at = np.flatnonzero(fresh)
     count = np.diff(np.append(at, len(start)))
-    p, s = anchor[at], start[at]
+    p, s = anchor[at].astype(np.int64), start[at].astype(np.int64)
     return p, s, count, span_hash(sums, p, p + gram), span_hash(sums, s, s + count - 1 + length)
 
 
 def short_anchors(sums: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(place, gram hash) of the different anchors of strings of length bytes."""
     anchor = _anchored(sums, offsets, length)[1]
-    p = np.unique(anchor)
+    p = np.unique(anchor).astype(np.int64)
     return p, span_hash(sums, p, p + gram_length(length))
 
 
@@ -263,7 +265,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         return (_judge_anchors, ANCHOR) if bucket < n1 else (packed.repeated, packed.KEY)
 
     asked = table.mapInArrow(first, SENT).select("block", "bucket", "sent")
-    anchors = cut(packed.answered(asked, judge, n1 + n3), "anchors")
+    anchors = packed.answered(asked, judge)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,8 +303,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             got = [np.packbits(np.concatenate(flags[a:b])).tobytes() for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"block": t["block"], "bucket": t["bucket"], "got": pa.array(got, pa.binary())})
 
-    # crowded anchors have as many buckets again
-    replies = packed.dealt(asked.where("bucket >= 0").select("block", "bucket", "sent"), 2 * n2).groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary")
+    # the transform is the heaviest step: its tasks are as many as there are partitions, not as few as its small input would make them
+    parts = min(2 * n2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    replies = asked.where("bucket >= 0").select("block", "bucket", "sent").repartition(parts, "bucket").groupBy("bucket").applyInArrow(reply, "block long, bucket long, got binary")
     replies = cut(replies, "replies").withColumnRenamed("got", "blob").withColumn("kind", F.lit(1))
     local = asked.select("block", "bucket", F.col("local").alias("blob"), F.lit(0).alias("kind"))
     facts = local.unionByName(replies).select("block", "bucket", "kind", "blob")
