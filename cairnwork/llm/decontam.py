@@ -69,11 +69,8 @@ def windows_of(items: list[tuple[object, str | None]], width: int = WINDOW) -> W
     return Windows(vocab, terms, (terms >= 0).sum(1), [np.array(sorted(s)) for s in seen.values()], names)
 
 
-INDEX = "shard long, keys array<long>, n_words binary, terms binary, counts binary, postings binary"
-
-
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per shard: its number, keys and word counts of its documents, and its terms (hashes, sorted) with the count and the positions of each."""
+    """A row per shard: its number, keys (of any type) and word counts of its documents, and its terms (hashes, sorted) with the count and the positions of each."""
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
@@ -84,9 +81,10 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                 order = np.argsort(h, kind="stable")
                 terms, counts = np.unique(h[order], return_counts=True)
                 cells = {"n_words": np.diff(first).astype(np.int64), "terms": terms, "counts": counts.astype(np.int32), "postings": position[order].astype(np.int32)}
-                yield pa.RecordBatch.from_pydict({"shard": pa.array([next(numbers)], pa.int64()), "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(pa.int64())), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in cells.items()}})
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([next(numbers)], pa.int64()), "keys": pa.array([batch[key][a:b].to_pylist()], pa.list_(batch[key].type)), **{c: pa.array([x.tobytes()], pa.binary()) for c, x in cells.items()}})
 
-    return bounded_batches(docs).select(F.col(key).cast("long").alias(key), text).mapInArrow(shard, INDEX)
+    kind = docs.select(key).schema[0].dataType.simpleString()
+    return bounded_batches(docs).select(key, text).mapInArrow(shard, f"shard long, keys array<{kind}>, n_words binary, terms binary, counts binary, postings binary")
 
 
 def term_counts(index: DataFrame, vocab: np.ndarray) -> np.ndarray:
@@ -238,11 +236,16 @@ def _match_pass(index: DataFrame, windows: Windows, counts: np.ndarray, key: str
                     hit.append(np.stack([at, at + windows.sizes[window[own]]], 1).ravel())
                     items.append([windows.names[i] for i in np.unique(np.concatenate([windows.items[w] for w in np.unique(window[own])]))] if len(own) else [])
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([at_shard] * len(keys), pa.int64()), key: pa.array(keys, pa.int64()), "place": pa.array(np.arange(len(keys))), "n_words": pa.array(n_words),
+                    "shard": pa.array([at_shard] * len(keys), pa.int64()), key: pa.array(keys, batch.schema.field("keys").type.value_type), "place": pa.array(np.arange(len(keys))), "n_words": pa.array(n_words),
                     "hit": pa.array(hit, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string())),
                 })
 
-    return index.mapInArrow(found, f"shard long, {key} long, place long, n_words long, hit array<long>, items array<string>")
+    return index.mapInArrow(found, f"shard long, {key} {_kind(index)}, place long, n_words long, hit array<long>, items array<string>")
+
+
+def _kind(index: DataFrame) -> str:
+    """Type of the keys of an index."""
+    return index.schema["keys"].dataType.elementType.simpleString()
 
 
 def _finished(hits: DataFrame, key: str) -> DataFrame:
@@ -259,7 +262,7 @@ def _finished(hits: DataFrame, key: str) -> DataFrame:
                 digest.append(hashlib.sha256(",".join(unique).encode()).hexdigest())
             yield pa.RecordBatch.from_pydict({key: batch[key], "n_words": batch["n_words"], "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array(n_items, pa.int64()), "items_sha256": pa.array(digest, pa.string()), "contaminated": pa.array([n > 0 for n in n_hit], pa.bool_())})
 
-    return hits.mapInArrow(counted, f"{key} long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return hits.mapInArrow(counted, f"{key} {hits.schema[key].dataType.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def proximity(docs: DataFrame, phrase: str, slop: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -278,6 +281,6 @@ def proximity_index(index: DataFrame, phrase: str, slop: int, key: str = "doc_id
             for _, keys, _, shard in _shards(batch, vocab):
                 at = shard.near(terms, slop) if terms else np.zeros(0, np.int64)
                 doc = np.searchsorted(shard.first, at, "right") - 1
-                yield pa.RecordBatch.from_pydict({key: pa.array([keys[d] for d in doc], pa.int64()), "position": pa.array(at - shard.first[doc])})
+                yield pa.RecordBatch.from_pydict({key: pa.array([keys[d] for d in doc], batch.schema.field("keys").type.value_type), "position": pa.array(at - shard.first[doc])})
 
-    return index.mapInArrow(found, f"{key} long, position long")
+    return index.mapInArrow(found, f"{key} {_kind(index)}, position long")

@@ -131,21 +131,23 @@ def _settled(df: DataFrame, last: bool, seed: int) -> DataFrame:
     return df.groupBy("__source", "__block").applyInArrow(level, df.schema)
 
 
-def mix(docs: DataFrame, whole_rows: bool = True, source: str = "source", text: str = "text", key: str = "doc_id", seed: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """docs (without whole_rows: key and source alone) with `__size` (words), `__source_size`, `__target` (of its source) and `__times` (0 to 3).
+def mix(docs: DataFrame, kept: list[str] | None = None, source: str = "source", text: str = "text", key: str = "doc_id", seed: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """docs (of its columns `kept`, or all) with `__size` (words), `__source_size`, `__target` (of its source) and `__times` (0 to 3).
 
     A null source is a source, ordered last. Null or empty texts have size 0; in a source of size 0 all
-    are taken once. Identical rows are interchangeable. Results depend on the rows alone, not on their
+    are taken once. Texts are read whole; an empty table gives an empty one; columns of names that begin with two underscores, as the new ones do, must not
+    be among the kept ones unless they are the caller's own position. Identical rows are interchangeable. Results depend on the rows alone, not on their
     order or partitions. Sources are counted on the driver: one row for each.
     """
-    spark, names = docs.sparkSession, docs.columns if whole_rows else [key, source]
+    spark, names = docs.sparkSession, kept or docs.columns
     held = bounded_batches(docs).withColumns({"__size": word_count(text), "__tie": F.xxhash64(key, source, text)})
-    held = cut(held.select(*names, "__size", "__tie"), "sized")
-    stats = held.groupBy(source).agg(F.sum("__size").alias("size"), F.count("*").alias("docs")).collect()
+    # the flights carry what is kept, so a text that is not kept is read once and never moved
+    held = cut(held.select(*names, F.col(source).alias("__of"), "__size", "__tie"), "sized")
+    stats = held.groupBy("__of").agg(F.sum("__size").alias("size"), F.count("*").alias("docs")).collect()
     goal = targets([(r[0], r["size"]) for r in stats])
     rows = [(r[0], i, r["size"], goal[r[0]], goal[r[0]] / r["size"] if r["size"] else 1.0, r["docs"]) for i, r in enumerate(sorted(stats, key=lambda r: (r[0] is None, r[0] or "")))]
     table = spark.createDataFrame(rows, "__name string, __source int, __source_size long, __target double, __ratio double, __docs long")
-    joined = held.join(F.broadcast(table), F.col(source).eqNullSafe(F.col("__name"))).drop("__name")
+    joined = held.join(F.broadcast(table), F.col("__of").eqNullSafe(F.col("__name"))).drop("__name", "__of")
     whole = F.floor("__ratio").cast("int")
     most = max([r[5] for r in rows], default=0)
     block = F.pmod(F.xxhash64("__tie", F.lit(0)), F.greatest(F.lit(1), F.ceil(F.col("__docs") / block_rows))).cast("long")

@@ -58,7 +58,7 @@ def op8_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.mix(_docs(spark, sf_dir), whole_rows=False)
+    out = mixing.mix(_docs(spark, sf_dir), ["doc_id", "source"])
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__times")).cast("long").alias("taken"))
 
 

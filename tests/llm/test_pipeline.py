@@ -69,3 +69,26 @@ def test_rows_that_share_an_id_are_judged_apart(spark, tmp_path):
         assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(5, copied), (9, own), (9, other), (3, ITEMS[0][1]), (3, own[::-1])])
         clean = stages["benchmark decontamination"](spark, kept, str(tmp_path)).where("doc_id = 3")
         assert [r.text for r in clean.collect()] == [own[::-1]]
+
+
+def test_positions_and_numbers(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cairnwork.llm import positions
+
+    d = docs(spark).repartition(3)
+    d.write.parquet(f"{tmp_path}/d")
+    stored = spark.read.parquet(f"{tmp_path}/d").where("doc_id <> 3")
+    twice = stored.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    assert positions._scan(stored) and not positions._scan(d) and not positions._scan(twice)
+    monkeypatch.setattr(positions, "CHUNK_BITS", 3)
+    for table in (d, stored, twice):
+        rows_ = positions.positioned(table)
+        held = [tuple(r) for r in rows_.select("__f", "__r").collect()]
+        assert len(set(held)) == len(held) == table.count()
+        facts = rows_.where("n_chars % 2 = 0").select("__f", "__r", (F.col("n_chars") % 200).alias("value"))
+        for limit in (1 << 20, 0):  # broadcast, and joined by position
+            monkeypatch.setattr(positions, "BROADCAST_BYTES", limit)
+            for width in (1, 8):
+                got = positions.attach(rows_, facts, "v", width).select("n_chars", "v").collect()
+                assert len(got) == len(held) and all(r.v == (None if r.n_chars % 2 else r.n_chars % 200) for r in got)
