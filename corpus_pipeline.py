@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnwork.llm import decontam, langid, mixing, sharding, simhash
+from cairnwork.llm.positions import PLACE, attach, positioned
 from cairnwork.plans.storage import cut
 
 SHARDS = 40
@@ -14,11 +15,9 @@ SHARDS = 40
 ORACLE_SQL = None
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """docs with `__row`, a hash of the whole row, and `__id`, which orders rows by doc_id, those without one last, and then by that hash."""
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.withColumn("__row", F.xxhash64(*docs.columns))
-    return rows.withColumn("__id", F.struct(doc_id.isNull().alias("without"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"), "__row"))
+# Every stage reads whole texts of any length and judges repeated rows, rows that share a doc_id and rows without one each for itself, by their
+# place in the stored documents; columns of other names go along. An empty table gives an empty one. Decisions come back to the
+# documents by place, so no stage shuffles texts while what was decided is small enough to be broadcast.
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,32 +27,40 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row of least doc_id, and of rows of the group that share it one. A row without doc_id stays only where no other does.
+    """Of each group of near copies the row of least doc_id; of several such rows one. A row without doc_id stays only where no other does.
 
-    Rows of one doc_id whose texts are no near copies are judged apart.
+    Null and empty texts are one group. Ties between rows of one doc_id are settled by a hash of the row, between identical rows by place.
     """
-    rows = _identified(docs)
-    found = simhash.classes(rows, key="__id")
-    kept = found.where("__id = component_id").select("__id").distinct()
-    return rows.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
+    rows, doc_id = positioned(docs), F.col("doc_id").cast("long")
+    own = F.struct(doc_id.isNull().alias("without"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"), F.xxhash64(*docs.columns).alias("row"), *PLACE)
+    found = simhash.classes(rows.select(own.alias("__id"), "text"), key="__id")
+    kept = found.where("__id = component_id").select("__id.__f", "__id.__r", F.lit(0).alias("value"))
+    return attach(rows, kept, "__kept", 1).where("__kept IS NOT NULL").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a benchmark window; rows that share a doc_id are judged apart."""
-    rows = _identified(docs)
-    found = decontam.match(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__row")
-    return rows.join(found.where("contaminated").select("__row").distinct(), "__row", "left_anti").select(*docs.columns)
+    """Rows without a benchmark window; null texts have none."""
+    rows = positioned(docs)
+    found = decontam.match(rows.select(F.struct(*PLACE).alias("__at"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="__at")
+    hit = found.where("contaminated").select("__at.*", F.lit(0).alias("value"))
+    return attach(rows, hit, "__hit", 1).where("__hit IS NULL").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    taken = mixing.mix(docs)
-    return taken.where("__times > 0").withColumn("__copy", F.explode(F.expr("sequence(1, __times)"))).select(*docs.columns)
+    """Documents as often as the mix takes them, zero to three times; a null source is one, and its texts without words are taken as others are."""
+    rows = positioned(docs)
+    taken = mixing.mix(rows, PLACE).where("__times > 0").select(*PLACE, F.col("__times").alias("value"))
+    times = attach(rows, taken, "__times", 1).where("__times IS NOT NULL")
+    return times.withColumn("__copy", F.explode(F.expr("sequence(1, cast(__times as int))"))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in shuffled shards: the columns of documents, shard and slot."""
-    return sharding.assign_shards(docs, [F.col("doc_id"), F.xxhash64(*docs.columns)], SHARDS)
+    """Documents in shuffled shards: the columns of documents, shard and slot. Columns of these names are replaced."""
+    rows = positioned(docs)
+    dealt = sharding.assign_shards(rows.select(*PLACE, "doc_id", F.xxhash64(*docs.columns).alias("__row")), [F.col("doc_id"), F.col("__row")], SHARDS)
+    dealt = cut(dealt.select(*PLACE, (F.col("slot") * SHARDS + F.col("shard")).alias("value")), "dealt")
+    placed, kept = attach(rows, dealt, "__number", 8), [c for c in docs.columns if c not in ("shard", "slot")]
+    return placed.select(*kept, F.pmod("__number", F.lit(SHARDS)).cast("int").alias("shard"), F.floor(F.col("__number") / SHARDS).cast("long").alias("slot"))
 
 
 STAGES = [("language ID", language), ("SimHash near-dedup", near_dedup), ("benchmark decontamination", decontaminate), ("mixing sources", mix), ("sharding", shard)]
