@@ -69,3 +69,17 @@ def test_pairs_of_a_name_are_not_shuffled(spark, crowd):
     want = same(rows, crowd, "candidate_universe")
     assert len({o for *_, o in want}) > 7
     assert most < 5_000 < len(want)
+
+
+def test_embedding_pairs_are_met_once(spark, tmp_path):
+    r, sf = random.Random(2), str(tmp_path)
+    words = [f"w{i}" for i in range(90)]  # more than a mask has bits
+    names = ["w1 w2", "w2 w1", "w1 w2 w3", "w1", "", None, "w1 w1 w2", *["w1 w2 w3 w4", "w1 w2 w3 w4 w5"] * 10, " ".join(words), " ".join(words[:80])] + [" ".join(r.sample(words[:12], r.randint(1, 8))) for _ in range(40)]
+    part = [(k, r.choice(names), r.choice(("B1", "B1", "B2", None)), r.choice(("x", "y", None)), r.choice((1, 2, 2, 2, 3, 5, 9, None))) for k in range(300)]
+    base = [[r.gauss(0, 1) for _ in range(4)] for _ in range(3)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{sf}/part.parquet")
+    spark.createDataFrame([(k, [x + r.gauss(0, 0.3) for x in base[k % 3]]) for k in range(0, 300, 2)], "vec_id long, embedding array<float>").write.parquet(f"{sf}/embeddings.parquet")
+    rows, most = made(QUERIES["embedding_matcher"](spark, sf), "numOutputRows")
+    want = same(rows, sf, "embedding_matcher")
+    assert {v for *_, v in want} == {"accept_high", "accept_medium", "needs_review", "reject"}
+    assert most <= len(want)
