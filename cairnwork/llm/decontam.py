@@ -13,7 +13,7 @@ searched in several passes over the same stored shards, so that no pass sends mo
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import count
 
@@ -202,23 +202,30 @@ def _passes(benchmark: DataFrame, item: str, item_text: str) -> Iterator[list[tu
 
 def match_index(index: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", item_text: str = "text", width: int = WINDOW) -> DataFrame:
     """match over a stored index. The driver holds one pass of the benchmark at a time."""
-    hits, last = [], None
+    hits, last, kind = [], None, _kind(index)
+    schema = f"shard long, {key} {kind}, place long, n_words long, hit array<long>, items array<string>"
     for part in _passes(benchmark, item, item_text):
         if last is not None:
-            hits.append(cut(last, "hits"))
+            hits.append(cut(index.mapInArrow(last, schema), "hits"))
         windows = windows_of(part, width)
-        last = _match_pass(index, windows, term_counts(index, windows.vocab), key)
+        last = _match_pass(windows, term_counts(index, windows.vocab), key)
+    counted = _counted(key)
     if not hits:
-        return _finished(last, key)
-    both = last
+        # one operator: two would have a Python process each in every task, and those stay
+        return index.mapInArrow(lambda batches: counted(last(batches)), FACTS.format(key=key, kind=kind))
+    both = index.mapInArrow(last, schema)
     for more in hits:
         both = both.unionByName(more)
     # the same row of a stored shard has one row a pass, whatever its key is
     merged = both.groupBy("shard", "place").agg(F.first(key).alias(key), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hit")).alias("hit"), F.flatten(F.collect_list("items")).alias("items"))
-    return _finished(merged, key)
+    return merged.mapInArrow(counted, FACTS.format(key=key, kind=kind))
 
 
-def _match_pass(index: DataFrame, windows: Windows, counts: np.ndarray, key: str) -> DataFrame:
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+FACTS = "{key} {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
+def _match_pass(windows: Windows, counts: np.ndarray, key: str) -> Batches:
     """shard, place, key, n_words, hit (ranges of words as from, to, from, to ..), items."""
     order = _rarity(windows.terms, counts)
 
@@ -240,7 +247,7 @@ def _match_pass(index: DataFrame, windows: Windows, counts: np.ndarray, key: str
                     "hit": pa.array(hit, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string())),
                 })
 
-    return index.mapInArrow(found, f"shard long, {key} {_kind(index)}, place long, n_words long, hit array<long>, items array<string>")
+    return found
 
 
 def _kind(index: DataFrame) -> str:
@@ -248,7 +255,7 @@ def _kind(index: DataFrame) -> str:
     return index.schema["keys"].dataType.elementType.simpleString()
 
 
-def _finished(hits: DataFrame, key: str) -> DataFrame:
+def _counted(key: str) -> Batches:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_hit, n_items, digest = [], [], []
@@ -262,7 +269,7 @@ def _finished(hits: DataFrame, key: str) -> DataFrame:
                 digest.append(hashlib.sha256(",".join(unique).encode()).hexdigest())
             yield pa.RecordBatch.from_pydict({key: batch[key], "n_words": batch["n_words"], "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array(n_items, pa.int64()), "items_sha256": pa.array(digest, pa.string()), "contaminated": pa.array([n > 0 for n in n_hit], pa.bool_())})
 
-    return hits.mapInArrow(counted, f"{key} {hits.schema[key].dataType.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return counted
 
 
 def proximity(docs: DataFrame, phrase: str, slop: int, key: str = "doc_id", text: str = "text") -> DataFrame:

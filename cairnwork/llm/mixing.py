@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairnwork.llm.textscan import SPACE, blocks, spans
-from cairnwork.plans.storage import bounded_batches, cut
+from cairnwork.plans.storage import bounded_batches, cut, local_table
 
 #: Most times that one document is taken.
 REPEATS = 3
@@ -146,7 +146,7 @@ def mix(docs: DataFrame, kept: list[str] | None = None, source: str = "source",
     stats = held.groupBy("__of").agg(F.sum("__size").alias("size"), F.count("*").alias("docs")).collect()
     goal = targets([(r[0], r["size"]) for r in stats])
     rows = [(r[0], i, r["size"], goal[r[0]], goal[r[0]] / r["size"] if r["size"] else 1.0, r["docs"]) for i, r in enumerate(sorted(stats, key=lambda r: (r[0] is None, r[0] or "")))]
-    table = spark.createDataFrame(rows, "__name string, __source int, __source_size long, __target double, __ratio double, __docs long")
+    table = local_table(spark, {"__name": pa.string(), "__source": pa.int32(), "__source_size": pa.int64(), "__target": pa.float64(), "__ratio": pa.float64(), "__docs": pa.int64()}, rows)
     joined = held.join(F.broadcast(table), F.col("__of").eqNullSafe(F.col("__name"))).drop("__name", "__of")
     whole = F.floor("__ratio").cast("int")
     most = max([r[5] for r in rows], default=0)

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairnwork.plans.storage import cut
+from cairnwork.plans.storage import cut, local_table
 
 ROUNDS = 6
 
@@ -84,7 +85,7 @@ def number_rows(df: DataFrame, keys: list[Column], name: str) -> tuple[DataFrame
     for row in counts:
         before.append((row["__part"], total))
         total += row["n"]
-    starts = spark.createDataFrame(before, "__part int, __start long")
+    starts = local_table(spark, {"__part": pa.int32(), "__start": pa.int64()}, before)
     return placed.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__place")).drop("__part", "__place", "__start"), total
 
 

@@ -92,3 +92,24 @@ def test_positions_and_numbers(spark, tmp_path, monkeypatch):
             for width in (1, 8):
                 got = positions.attach(rows_, facts, "v", width).select("n_chars", "v").collect()
                 assert len(got) == len(held) and all(r.v == (None if r.n_chars % 2 else r.n_chars % 200) for r in got)
+
+
+def test_a_task_has_one_python_process(spark, tmp_path, monkeypatch):
+    """Python processes stay with their executor: so no operator reads another's rows in one stage, and there are no Python RDDs, whose processes are others."""
+    from pyspark import SparkContext
+
+    from cairnwork.llm import decontam
+    from cairnwork.plans.storage import cut
+
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    d = cut(docs(spark), "docs")
+    plan = decontam.match(d, spark.read.parquet(f"{tmp_path}/benchmark.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+    def refused(*args, **kwargs):
+        raise AssertionError("a Python RDD")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    for _, stage in cp.STAGES:
+        d = cut(stage(spark, d, str(tmp_path)), "stage")
+    assert d.count() > 0
