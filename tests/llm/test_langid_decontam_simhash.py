@@ -194,3 +194,18 @@ def test_op4_chain_and_empty(spark, tmp_path):
     assert {(r.node, r.root) for r in components(edges, "a", "b").collect()} == {(f, 0) for f in fps[:4]}
     docs(spark).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert queries.op4_simhash_tiles(spark, str(tmp_path)).count() == 0
+
+
+def test_fit_copies_what_it_gathers_little(spark):
+    """The driver holds the gathered vectors (16 KB a row), and beside them one copy in double precision."""
+    import tracemalloc
+
+    labelled = spark.createDataFrame([(i, " ".join(words(20, i)) + " der und" * (i % 2), ("en", "de")[i % 2]) for i in range(800)], "doc_id long, text string, lang string")
+    langid.fit(labelled)  # so that only what a fit takes is counted
+    tracemalloc.start()
+    try:
+        langid.fit(labelled)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 4 * 800 * 4 * langid.BUCKETS
