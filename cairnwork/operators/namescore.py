@@ -6,6 +6,7 @@ each text that its pairs name once. Longest common subsequences are found for ma
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,19 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairnwork.functions import text as X
-from cairnwork.plans.storage import bounded_batches, cut
+from cairnwork.plans.storage import apart, bounded_batches, cut
 
 #: Bytes of sorted texts in a block, pairs in a task, about; and the blocks of small tables, so that there are tasks enough.
-BLOCK_BYTES, TASK_PAIRS, FEWEST = 24 << 20, 100_000, 8
+BLOCK_BYTES, TASK_PAIRS, FEWEST = 24 << 20, 60_000, 8
 #: Characters in a word of bits; the bit above them is the carry.
 BITS = 63
-#: Words of bits handled by one numpy call, about, and words of all texts of a batch at most (each has 40 masks).
-WORDS, HELD = 6144, 1 << 15
-#: Characters of split texts and bytes of what pairs do not share that a task keeps.
-KEPT_CHARS, KEPT_BYTES = 8 << 20, 64 << 20
+#: Words of bits handled by one numpy call, about, words of all texts of a batch at most (each has 40 masks), and characters of its rows.
+WORDS, HELD, ROWS = 6144, 1 << 15, 1 << 22
+#: Characters of split texts and bytes of what pairs do not share that a task keeps, and partners of a text that are compared with it at once.
+KEPT_CHARS, KEPT_BYTES, PARTNERS = 16 << 20, 64 << 20, 256
 
 _MASK = np.uint64((1 << BITS) - 1)
-_CODE = np.full(256, 37, np.int64)
+_CODE = np.full(256, 37, np.uint8)
 _CODE[[*range(97, 123), *range(48, 58), 32]] = np.arange(37)
 
 
@@ -37,14 +38,19 @@ def _in_band(a: list[bytes], b: list[bytes], down: int, right: int) -> np.ndarra
     The bits of a word that are 0 are the columns where the length grows. At each turn every word of the band takes the next row, one row behind the word to its left.
     """
     n, rows, words = len(a), max(map(len, a)), max(1, -(-max(map(len, b)) // BITS))
-    code = _CODE[np.frombuffer(b"".join(x.ljust(words * BITS, b"\0") for x in b), np.uint8)].reshape(n, words, BITS)
-    base = np.arange(words)[:, None] * (39 * n) + np.arange(n)
-    masks = np.zeros(words * 39 * n, np.uint64)
+    # a text that stands in several pairs has its masks once
+    own = {x: k for k, x in enumerate(dict.fromkeys(b))}
+    code = _CODE[np.frombuffer(b"".join(x.ljust(words * BITS, b"\0") for x in own), np.uint8)].reshape(len(own), words, BITS)
+    column = np.arange(words)[:, None] * (39 * len(own))
+    masks, slot = np.zeros(words * 39 * len(own), np.uint64), column + np.arange(len(own))
     for k in range(BITS):
-        masks[base + code[:, :, k].T * n] |= np.uint64(1 << k)
+        masks[slot + code[:, :, k].T.astype(np.int64) * len(own)] |= np.uint64(1 << k)
+    base = column + np.array([own[x] for x in b])
     # past their ends texts of b have character 37 and texts of a 38, which meets nothing
     code = _CODE[np.frombuffer(b"".join(x.ljust(rows, b"\0") for x in a), np.uint8)].reshape(n, rows)
-    back = np.ascontiguousarray(np.where(code == 37, 38, code)[:, ::-1].T) * n
+    code[code == 37] = 38
+    back = np.ascontiguousarray(code[:, ::-1].T).astype(np.int64)
+    back *= len(own)
     at = np.arange(words)
     begin, end = np.maximum(1, at * BITS + 1 - right) + at, np.minimum(rows, at * BITS + BITS + down) + at
     turns = np.arange(rows + words)
@@ -95,23 +101,27 @@ def _alone(a: bytes, b: bytes, down: int, right: int) -> int:
     return found + high - low - v.bit_count()
 
 
+def _active(size: np.ndarray, aside: np.ndarray) -> np.ndarray:
+    """Words of each pair that a turn handles."""
+    return np.minimum(size[:, 1] // BITS + 1, 2 + aside.sum(1) // BITS)
+
+
 def _batches(todo: np.ndarray, size: np.ndarray, aside: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
-    """Pairs of like lengths and bands, and whether they are better met together."""
-    i = 0
+    """Pairs of like lengths, both of them, and bands, and whether they are better met together."""
+    active, i = _active(size, aside), 0
     while i < len(todo):
         # the first pair says how many there are; one that differs much ends the batch
-        words = -(-int(size[todo[i], 1]) // BITS)
-        active = min(words, 2 + int(aside[todo[i]].sum()) // BITS)
-        same = todo[i : i + max(1, min(WORDS // active, HELD // words))]
-        far = (aside[same].sum(1) > aside[same[0]].sum() * 1.5 + 2 * BITS) | (size[same, 1] > size[same[0], 1] * 1.4 + BITS)
+        rows, words, wide = int(size[todo[i], 0]), int(size[todo[i], 1]) // BITS + 1, int(active[todo[i]])
+        same = todo[i : i + max(1, min(WORDS // wide, HELD // words, ROWS // rows))]
+        far = (active[same] > wide * 1.3 + 2) | (active[same] < wide * 0.7 - 2) | (size[same, 0] > rows * 1.3 + 16) | (size[same, 0] < rows * 0.7 - 16) | (size[same, 1] > size[same[0], 1] * 1.4 + BITS)
         if far.any():
             same = same[: int(far.argmax())]
         i += len(same)
         rows, words = (int(x) for x in size[same].max(0))
-        active = min(words // BITS + 1, 2 + int(aside[same].max(0).sum()) // BITS)
+        wide = min(words // BITS + 1, 2 + int(aside[same].max(0).sum()) // BITS)
         # microseconds of a turn and of a word, and of a row and of a mask's character, as measured once
-        together = (rows + words // BITS) * (20 + 0.011 * active * len(same)) + 0.02 * len(same) * words
-        yield same, together < len(same) * (rows * (0.85 + 0.004 * active) + 0.15 * words)
+        together = (rows + words // BITS) * (13 + 0.0045 * wide * len(same)) + 0.01 * len(same) * words
+        yield same, together < len(same) * (rows * (0.85 + 0.004 * wide) + 0.15 * words)
 
 
 def lcs_lengths(pairs: list[tuple[bytes, bytes]], guess: np.ndarray) -> np.ndarray:
@@ -126,8 +136,8 @@ def lcs_lengths(pairs: list[tuple[bytes, bytes]], guess: np.ndarray) -> np.ndarr
     todo = np.flatnonzero(size[:, 0] > 0)
     while len(todo):
         aside = size - bound[:, None]
-        band = np.floor(2 * np.log2(aside.sum(1) + 2 * BITS)).astype(np.int64)
-        todo = todo[np.lexsort((size[todo, 1], band[todo]))]
+        kind = np.floor(3 * np.log2(np.column_stack([_active(size, aside) + 2, size[:, 0] + 32]))).astype(np.int64)
+        todo = todo[np.lexsort((size[todo, 1], kind[todo, 1], kind[todo, 0]))]
         again = []
         for same, together in _batches(todo, size, aside):
             if together:
@@ -145,17 +155,21 @@ def lcs_lengths(pairs: list[tuple[bytes, bytes]], guess: np.ndarray) -> np.ndarr
 
 def ratios(pairs: list[tuple[bytes, bytes, list[bytes], list[bytes], int]]) -> tuple[np.ndarray, np.ndarray]:
     """(sort ratio, set ratio) of (sorted text, sorted text, tokens of its own, of the other's own, length of the shared tokens)."""
-    size = np.array([(len(x), len(y), shared) for x, y, _, _, shared in pairs], np.int64).reshape(-1, 3)
-    own = [(b" ".join(sorted(p)), b" ".join(sorted(q))) for _, _, p, q, _ in pairs]
-    one, two = (np.array([len(o[k]) for o in own], np.int64) for k in (0, 1))
-    base = size[:, 2]
-    # as large a share of a text is common as of its distinct tokens, and some of the rest
-    common = base / np.maximum(1, base + np.maximum(one, two))
-    common = lcs_lengths([p[:2] for p in pairs], (common + 0.4 * (1 - common)) * size[:, :2].min(1))
-    by_sort = np.where(size[:, :2].sum(1) > 0, 200.0 * common / np.maximum(1, size[:, :2].sum(1)), 100.0)
-    some = np.flatnonzero((one > 0) & (two > 0))
-    common = np.zeros(len(pairs), np.int64)
-    common[some] = lcs_lengths([own[k] for k in some], 0.5 * np.minimum(one, two)[some])
+    own = [tuple(b" ".join(sorted(o)) for o in p[2:4]) for p in pairs]
+    size = np.array([(len(o[0]), len(o[1]), p[4]) for o, p in zip(own, pairs)], np.int64).reshape(-1, 3)
+    least = [sum(n * (len(t) + 1) for t, n in (Counter(p[0].split()) & Counter(p[1].split())).items()) for p in pairs]
+    some = np.flatnonzero((size[:, :2] > 0).all(1))
+    return _ratios([p[:2] for p in pairs], np.array(least, np.int64), *size.T, some, [own[k] for k in some])
+
+
+def _ratios(texts: list[tuple[bytes, bytes]], least: np.ndarray, one: np.ndarray, two: np.ndarray, base: np.ndarray, some: np.ndarray, own: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same of sorted texts, of which so many characters are common at least, about, of the lengths of either's own tokens and the shared ones, and of the own tokens of some pairs, all that have them on both sides."""
+    size = np.array([(len(x), len(y)) for x, y in texts], np.int64).reshape(-1, 2)
+    # tokens that are common, each as often as in both, and little of the rest: a second band costs more than a wider first one
+    common = lcs_lengths(texts, least + 0.1 * (size.min(1) - least))
+    by_sort = np.where(size.sum(1) > 0, 200.0 * common / np.maximum(1, size.sum(1)), 100.0)
+    common = np.zeros(len(texts), np.int64)
+    common[some] = lcs_lengths(own, 0.5 * np.minimum(one, two)[some])
     # shared tokens stand first, so they are common, and so is the space behind them
     one, two = one + base + (base > 0), two + base + (base > 0)
     by_set = 200.0 * (common + base + (base > 0)) / np.maximum(1, one + two)
@@ -177,34 +191,87 @@ def _sorted_texts(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
     return bounded_batches(docs.select(F.col(id_col).cast("long").alias("id"), X.plain(text).alias("s")), 1 << 20).mapInArrow(pack, "id long, size long, packed binary")
 
 
+class _Tokens:
+    """Texts of a task as numbers of their distinct tokens, in order, with how often each stands there."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.name: list[bytes] = []
+        self.texts: dict[int, tuple[bytes, np.ndarray, np.ndarray]] = {}
+        self.width = self.times = self.place = np.zeros(0, np.int64)
+        self.filled = 0
+
+    def add(self, k: int, whole: bytes) -> None:
+        count = Counter(whole.split())
+        for t in count:
+            if t not in self.number:
+                self.number[t] = len(self.name)
+                self.name.append(t)
+        self.texts[k] = whole, np.array([self.number[t] for t in count], np.int64), np.array(list(count.values()), np.int64)
+
+    def compare(self, a: int, others: list[int]) -> tuple:
+        """Of a and each other: common characters at least, lengths of either's own and of the shared tokens; which have own tokens on both sides, and these."""
+        if len(self.width) <= len(self.name):  # the last number is no token's
+            self.width, self.times, self.place = (np.concatenate([x, np.zeros(1 + len(self.name), np.int64)]) for x in (self.width, self.times, self.place))
+        self.width[self.filled : len(self.name)] = [len(t) + 1 for t in self.name[self.filled :]]
+        self.filled = len(self.name)
+        n, (_, mine, often) = len(others), self.texts[a]
+        self.times[mine], self.place[mine] = often, np.arange(len(mine))
+        size = np.array([len(self.texts[b][1]) for b in others])
+        ids, counts = (np.concatenate([*(self.texts[b][k] for b in others), [last]]) for k, last in ((1, len(self.width) - 1), (2, 0)))
+        pair, first = np.repeat(np.arange(n), size), np.cumsum(size) - size
+        each = lambda x: np.where(size > 0, np.add.reduceat(x, first), 0)
+        width, times = self.width[ids], self.times[ids]
+        least, base, whole = each(np.minimum(times, counts) * width), each((times > 0) * width), each(width)
+        one, two = self.width[mine].sum() - base, whole - base
+        some = np.flatnonzero((one > 0) & (two > 0))
+        # what is not shared, on either side
+        hit = times[:-1] > 0
+        apart = np.ones((n, len(mine)), bool)
+        apart[pair[hit], self.place[ids[:-1][hit]]] = False
+        left, right = (pair[~hit], ids[:-1][~hit]), np.nonzero(apart)
+        right = right[0], mine[right[1]]
+        self.times[mine] = 0
+        own = []
+        for k, x in (right, left):
+            at, x = np.searchsorted(k, np.arange(n + 1)).tolist(), x.tolist()
+            own.append([b" ".join([self.name[t] for t in x[at[m] : at[m + 1]]]) for m in some.tolist()])
+        # each token was taken with a space behind it
+        return least, *(np.maximum(0, x - 1) for x in (one, two, base)), some, list(zip(*own))
+
+
 def _score(texts: pd.DataFrame, pairs: pd.DataFrame) -> Iterator[pd.DataFrame]:
     packed = {k: (n, x) for k, n, x in zip(texts["id"].tolist(), texts["size"].tolist(), texts["packed"])}
-    kept: dict[int, tuple[bytes, frozenset]] = {}
-    chars, held, rows = 0, 0, []
-
-    def opened(k: int) -> tuple[bytes, frozenset]:
-        nonlocal chars
-        if k not in kept:
-            n, x = packed[k]
-            chars += n
-            whole = pa.decompress(x, decompressed_size=n, codec="zstd", asbytes=True)
-            kept[k] = whole, frozenset(whole.split())
-        return kept[k]
+    tokens, rows, own = _Tokens(), [], []
+    chars = held = n = 0
 
     def out() -> pd.DataFrame:
-        by_sort, by_set = ratios([r[2:] for r in rows])
-        return pd.DataFrame({"a": [r[0] for r in rows], "b": [r[1] for r in rows], "strict": np.minimum(by_sort, by_set), "loose": np.maximum(by_sort, by_set)})
+        a, b = (np.concatenate([r[k] for r in rows]) for k in (0, 1))
+        whole = {k: x[0] for k, x in tokens.texts.items()}
+        numbers = [np.concatenate([r[k] for r in rows]) for k in range(2, 7)]
+        by_sort, by_set = _ratios([(whole[x], whole[y]) for x, y in zip(a.tolist(), b.tolist())], *numbers, own)
+        return pd.DataFrame({"a": a, "b": b, "strict": np.minimum(by_sort, by_set), "loose": np.maximum(by_sort, by_set)})
 
     pairs = pairs.sort_values(["a", "b"])
-    for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist()):
-        (x, p), (y, q) = opened(a), opened(b)
-        shared = p & q
-        rows.append((a, b, x, y, p - q, q - p, sum(map(len, shared)) + max(0, len(shared) - 1)))
-        held += 128 * (len(p) + len(q) - 2 * len(shared)) + 1024
-        if held > KEPT_BYTES or chars > KEPT_CHARS:
-            yield out()
-            chars, held, rows = 0, 0, []
-            kept.clear()
+    a, b = pairs["a"].to_numpy(np.int64), pairs["b"].to_numpy(np.int64)
+    turns = np.flatnonzero(np.diff(a, prepend=a[:1] - 1))
+    for i, end in zip(turns.tolist(), [*turns[1:].tolist(), len(a)]):
+        for j in range(i, end, PARTNERS):
+            part = b[j : min(end, j + PARTNERS)]
+            for k in (int(a[i]), *part.tolist()):
+                if k not in tokens.texts:
+                    size, x = packed[k]
+                    chars += size
+                    tokens.add(k, pa.decompress(x, decompressed_size=size, codec="zstd", asbytes=True))
+            least, one, two, base, some, made = tokens.compare(int(a[i]), part.tolist())
+            rows.append((np.full(len(part), a[i]), part, least, one, two, base, some + n))
+            own += made
+            n += len(part)
+            held += 512 * len(part) + int((one + two)[some].sum())
+            if held > KEPT_BYTES or chars > KEPT_CHARS:
+                yield out()
+                tokens, rows, own = _Tokens(), [], []
+                chars = held = n = 0
     if rows:
         yield out()
 
@@ -220,13 +287,15 @@ def name_scores(docs: DataFrame, id_col: str, text: Column, pairs: DataFrame) ->
     size, n = texts.select(F.coalesce(F.sum("size"), F.lit(0))).first()[0], each.count()
     blocks = max(FEWEST, -(-size // BLOCK_BYTES), int((2 * n / TASK_PAIRS) ** 0.5) + 1)
     block = {c: F.pmod(F.xxhash64(c), F.lit(blocks)) for c in ("a", "b")}
-    dealt = each.select("a", "b", (F.least(*block.values()) * blocks + F.greatest(*block.values())).cast("int").alias("task"))
+    parts = blocks * (blocks + 1) // 2
+    low, high = F.least(*block.values()), F.greatest(*block.values())
+    task = (low * (2 * blocks - low - 1) / 2 + high).cast("int")  # from 0 to parts - 1
+    dealt = each.select("a", "b", F.get(F.lit(apart(docs.sparkSession, parts)), task).cast("int").alias("task"))
     needs = dealt.select(F.explode(F.array("a", "b")).alias("id"), "task").groupBy("id").agg(F.collect_set("task").alias("tasks"))
     sent = texts.join(needs, "id").select(F.explode("tasks").alias("task"), "id", "size", "packed")
 
     def score(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return pd.concat(_score(left, right)) if len(right) else pd.DataFrame({"a": [], "b": [], "strict": [], "loose": []})
 
-    parts = blocks * (blocks + 1) // 2
     grouped = [x.repartition(parts, "task").groupBy("task") for x in (sent, dealt)]
     return grouped[0].cogroup(grouped[1]).applyInPandas(score, "a long, b long, strict double, loose double")
